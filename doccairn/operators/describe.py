@@ -81,3 +81,37 @@ def representative_posts(nearest: DataFrame, posts: DataFrame) -> DataFrame:
     """Fields of the nearest posts. ``nearest`` holds at most n rows per cluster."""
     fields = posts.select("id", "reddit_id", "subreddit", "title", "selftext")
     return nearest.join(fields, "id")
+
+
+def cluster_summaries(
+    complete: DataFrame, keywords: DataFrame, distribution: DataFrame, representatives: DataFrame
+) -> DataFrame:
+    """Nested record per cluster. All inputs are already cut to a few rows per cluster."""
+    words = keywords.groupBy("cluster").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "word", "count"))).alias("words")
+    )
+    ranked = F.struct((-F.col("count")).alias("order"), F.col("subreddit").alias("name"), "count")
+    groups = distribution.groupBy("cluster").agg(F.array_sort(F.collect_list(ranked)).alias("groups"))
+    posts = representatives.groupBy("cluster").agg(F.array_sort(F.collect_list(
+        F.struct("rank", "reddit_id", "subreddit", "title", "selftext")
+    )).alias("posts"))
+    joined = complete
+    for part in (words, groups, posts):
+        joined = joined.join(part, "cluster", "left")
+
+    def listed(items: str, *fields: str) -> Column:
+        kept = F.transform(items, lambda item: F.struct(*[item[name].alias(name) for name in fields]))
+        return F.coalesce(kept, F.array())
+
+    return joined.select(
+        F.col("cluster").alias("cluster_id"), "size", F.col("silhouette").alias("mean_cosine_silhouette"),
+        listed("words", "word", "count").alias("top_keywords"),
+        F.map_from_entries(listed("groups", "name", "count")).alias("subreddit_distribution"),
+        listed("posts", "reddit_id", "subreddit", "title", "selftext").alias("representative_posts"),
+    )
+
+
+def summary_list(summaries: DataFrame) -> DataFrame:
+    """All cluster records in one row, by cluster."""
+    record = F.struct(*summaries.columns)
+    return summaries.agg(F.array_sort(F.collect_list(record), lambda a, b: a["cluster_id"] - b["cluster_id"]).alias("cluster_summaries"))

@@ -101,10 +101,6 @@ def rounded(name: str) -> Column:
     return settled_decimals(F.col(name)).alias(name) if name in METRICS else F.col(name)
 
 
-def config_column(config: dict) -> Column:
-    return F.struct(*[F.lit(config.get(name)).alias(name) for name in CONFIG_FIELDS]).cast(result_files.CONFIG_TYPE)
-
-
 def united(build: Callable[[int], DataFrame], keys: Sequence[int]) -> DataFrame:
     """Union of the frames built for ``keys``; their small jobs run side by side."""
     with ThreadPoolExecutor(len(keys)) as pool:
@@ -118,7 +114,7 @@ def measured_run(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
     record = quality.quality(stats, modulo)
     return record.select(
         F.lit(method).alias("method"), F.lit(path_of(method, number)).alias("path"),
-        config_column(config).alias("config"), F.lit(modulo).alias("k"),
+        result_files.config_struct(config).alias("config"), F.lit(modulo).alias("k"),
         F.struct(*[rounded(n) for n in record.columns if n != "inertia"]).cast(result_files.METRICS_TYPE).alias("metrics"),
     )
 
@@ -275,8 +271,8 @@ def elbow_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Clusters of posts for the descriptions: the labels of the vectors with the same id.
 DESCRIBED_SQL = f"""{FLAT_SQL}, {POSTS_SQL}, {KEYWORD_SQL}, {STOP_SQL},
 member AS (SELECT b.method_key, b.config_name, b.run, u.id, u.cluster FROM unit u JOIN best b ON b.run = u.run),
-size_rank AS (SELECT method_key, config_name, cluster, count(*) AS size,
-              row_number() OVER (PARTITION BY method_key ORDER BY count(*) DESC, cluster) AS place FROM member GROUP BY ALL),
+size_rank AS (SELECT *, row_number() OVER (PARTITION BY method_key ORDER BY size DESC, cluster) AS place FROM (
+  SELECT method_key, config_name, cluster, count(*) AS size FROM member GROUP BY ALL)),
 shown AS (SELECT * FROM size_rank WHERE place <= 5),
 word_counts AS (SELECT method_key, cluster, word, count(*) AS n, min((id, pos)) AS first FROM keywords JOIN member USING (id)
                 WHERE word NOT IN (SELECT word FROM all_stop) GROUP BY ALL),

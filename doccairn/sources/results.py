@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 # The layout of a result document as it is written and read.
 CONFIG_TYPE = (
@@ -29,6 +29,12 @@ COMBINED_MARK = "all_configs"
 RESULT_COLUMNS = ("config", "k", "metrics", "k_search", "cluster_summaries")
 
 
+def config_struct(config: dict) -> Column:
+    """A configuration as the struct of all known fields."""
+    names = ("name", "vector_size", "min_count", "epochs", "dm", "n_bins", "w2v_vector_size", "w2v_min_count")
+    return F.struct(*[F.lit(config.get(name)).alias(name) for name in names]).cast(CONFIG_TYPE)
+
+
 def valid_results(documents: DataFrame) -> DataFrame:
     """Only documents with both a configuration and metrics are results."""
     return documents.where(F.col("config").isNotNull() & F.col("metrics").isNotNull())

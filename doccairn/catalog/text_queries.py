@@ -8,7 +8,7 @@ from doccairn.catalog.registry import query, settled_decimals, sql_decimals, tab
 from doccairn.functions.text import has_text
 from doccairn.operators import corpus, describe
 from doccairn.operators.lookups import lookup_join
-from doccairn.sources.posts import clean_posts
+from doccairn.sources.posts import clean_posts, spread
 
 # A short stop-word list both engines use; one word has an apostrophe.
 STOP_WORDS = ["the", "and", "for", "with", "that", "this", "des", "les", "une", "und", "der", "die", "don't"]
@@ -47,7 +47,7 @@ def posts(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     title = F.substring_index("text", "\n", 1)
     body = F.substring(F.col("text"), F.length(title) + 2, F.length("text"))
     return clean_posts(
-        table(spark, sf_dir, "documents").select(
+        spread(table(spark, sf_dir, "documents"), "doc_id").select(
             F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("reddit_id"),
             F.col("source").alias("subreddit"), title.alias("title"), body.alias("selftext"),
             title.alias("cleaned_title"), body.alias("cleaned_selftext"),

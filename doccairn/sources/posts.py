@@ -22,8 +22,17 @@ def clean_posts(raw: DataFrame) -> DataFrame:
     return raw.select(F.col("id").try_cast("bigint").alias("id"), *strings, *extra).fillna("", subset=list(TEXT_COLUMNS))
 
 
+def spread(rows: DataFrame, key: str = "id") -> DataFrame:
+    """Scanned rows over all cores.
+
+    A scan with fewer splits than cores is shuffled by ``key``; a large one stays as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+
+
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
-    return clean_posts(spark.read.parquet(path))
+    return clean_posts(spread(spark.read.parquet(path)))
 
 
 def read_posts_jdbc(

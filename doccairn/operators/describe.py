@@ -18,6 +18,15 @@ def top_rows(df: DataFrame, group: str, order: list[Column], n: int, rank: str =
     return ranked.where(F.col(rank) <= n)
 
 
+def occurrence(row: Column, pos: Column) -> Column:
+    """Row and position as one number in reading order.
+
+    The minimum of a number is kept by a hash aggregate; that of a struct would first sort
+    every token.
+    """
+    return row.cast("decimal(20,0)") * F.lit(1 << 31).cast("decimal(10,0)") + pos
+
+
 def keyword_counts(
     labelled_posts: DataFrame, cluster: str = "cluster", stop: list[str] | DataFrame | None = None
 ) -> DataFrame:
@@ -26,7 +35,7 @@ def keyword_counts(
         keyword_rows(labelled_posts, cluster), default_stop_words() if stop is None else stop
     )
     return words.groupBy(cluster, "word").agg(
-        F.count("*").alias("count"), F.min(F.struct("id", "pos")).alias("first")
+        F.count("*").alias("count"), F.min(occurrence(F.col("id"), F.col("pos"))).alias("first")
     )
 
 
@@ -78,9 +87,12 @@ def nearest_to_centroid(scored: DataFrame, n: int = 10) -> DataFrame:
 
 
 def representative_posts(nearest: DataFrame, posts: DataFrame) -> DataFrame:
-    """Fields of the nearest posts. ``nearest`` holds at most n rows per cluster."""
+    """Fields of the nearest posts.
+
+    ``nearest`` holds at most n rows per cluster of a fitted model, so it goes to the posts.
+    """
     fields = posts.select("id", "reddit_id", "subreddit", "title", "selftext")
-    return nearest.join(fields, "id")
+    return fields.join(F.broadcast(nearest), "id")
 
 
 def cluster_summaries(

@@ -12,7 +12,7 @@ from doccairn.operators import charts, clustering, describe, quality, word_bins
 from doccairn.operators.embedding import Training, train
 from doccairn.plans.corpus import Corpus
 from doccairn.sources.results import METRICS_TYPE, SEARCH_TYPE, config_struct
-from doccairn.storage import settle
+from doccairn.storage import discard, settle
 
 
 @dataclass(frozen=True)
@@ -65,7 +65,8 @@ def cluster_and_describe(
     stop: list[str] | DataFrame | None = None,
 ) -> Run:
     """Normalize, cluster, measure and describe ``id, vector`` rows."""
-    unit = settle(l2_normalize(vectors.select("id", "vector")), "unit-vectors")
+    passing: list[str] = []
+    unit = settle(l2_normalize(vectors.select("id", "vector")), "unit-vectors", passing)
     features = clustering.with_features(unit).persist()
     if choice.k is None:
         found = clustering.search_k(features, choice.k_min, choice.k_max, choice.restarts)
@@ -75,6 +76,7 @@ def cluster_and_describe(
         model = clustering.fit_kmeans(features, k, choice.restarts)
     labelled = settle(clustering.assign_clusters(features, model), "labelled")
     features.unpersist()
+    discard(unit.sparkSession, passing)
 
     scored = quality.score_rows(labelled)
     stats = settle(quality.cluster_stats(scored), "cluster-stats")

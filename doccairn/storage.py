@@ -34,18 +34,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/doccairn/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, name: str) -> DataFrame:
+def settle(df: DataFrame, name: str, written: list[str] | None = None) -> DataFrame:
     """Write ``df`` once and read it back.
 
-    Cuts the lineage, survives lost executors, and gives Catalyst exact sizes.
+    Cuts the lineage, survives lost executors, and gives Catalyst exact sizes. The path is
+    added to ``written``, for callers that remove the table when they are done.
     """
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    if written is not None:
+        written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def discard(spark: SparkSession, path: str) -> None:
-    """Remove a superseded table written under :func:`new_path`."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Remove tables written under :func:`new_path` and empty the list."""
+    for path in paths:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    paths.clear()

@@ -279,9 +279,10 @@ word_counts AS (SELECT method_key, cluster, word, count(*) AS n, min((id, pos))
 word_rank AS (SELECT *, row_number() OVER (PARTITION BY method_key, cluster ORDER BY n DESC, first) AS rank FROM word_counts),
 group_counts AS (SELECT method_key, cluster, subreddit, count(*) AS n FROM posts JOIN member USING (id) GROUP BY ALL),
 group_rank AS (SELECT *, row_number() OVER (PARTITION BY method_key, cluster ORDER BY n DESC, subreddit) AS rank FROM group_counts),
-post_rank AS (SELECT m.method_key, m.cluster, p.subreddit, p.title, s.rank FROM (
-    SELECT run, id, cluster, row_number() OVER (PARTITION BY run, cluster ORDER BY round(cosine_distance, 6), id) AS rank FROM scored) s
-  JOIN member m ON m.run = s.run AND m.id = s.id JOIN posts p ON p.id = s.id),
+near AS (SELECT run, id, cluster, row_number() OVER (PARTITION BY run, cluster ORDER BY round(cosine_distance, 6), id) AS near FROM scored),
+post_rank AS (SELECT m.method_key, m.cluster, p.subreddit, p.title,
+                     row_number() OVER (PARTITION BY m.method_key, m.cluster ORDER BY near) AS rank
+  FROM near n JOIN member m ON m.run = n.run AND m.id = n.id JOIN posts p ON p.id = n.id WHERE near <= 10),
 heads AS (SELECT method_key, cluster, 'keyword' AS kind, rank, word || '(' || n || ')' AS text FROM word_rank WHERE rank <= 8
   UNION ALL SELECT method_key, cluster, 'group', rank, subreddit || ':' || n FROM group_rank WHERE rank <= 5
   UNION ALL SELECT method_key, cluster, 'post', rank, '[r/' || subreddit || '] ' || title FROM post_rank WHERE rank <= 3)"""

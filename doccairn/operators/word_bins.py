@@ -52,10 +52,16 @@ def dense_frequencies(bins: Column, counts: Column, n_bins: int) -> Column:
 
 
 def word_bin_vectors(
-    tokenized: DataFrame, word_bins: DataFrame, n_bins: int, broadcast_rows: int = BROADCAST_ROWS
+    tokenized: DataFrame, word_bins: DataFrame, n_bins: int, broadcast_rows: int = BROADCAST_ROWS,
+    keep_zero: bool = True,
 ) -> DataFrame:
-    """``id`` and ``vector``: tokens per bin over the known tokens of the document."""
+    """``id`` and ``vector``: tokens per bin over the known tokens of the document.
+
+    Without ``keep_zero`` the documents with no known word drop out before their vector is built.
+    """
     counted = bin_counts(tokenized, word_bins, broadcast_rows)
+    if not keep_zero:
+        counted = counted.where(F.col("known") > 0)
     vector = dense_frequencies(F.col("bins"), F.col("counts"), n_bins)
     return counted.select("id", vector.alias("vector"))
 

@@ -127,7 +127,5 @@ def run_word_bins(
 ) -> Run:
     """Word-bin vectors of one configuration; ``word_vectors`` is shared by all of them."""
     bins = bin_words(word_vectors, config["n_bins"], choice.restarts)
-    vectors = word_bins.drop_zero_vectors(
-        word_bins.word_bin_vectors(corpus.tokenized, bins, config["n_bins"])
-    )
+    vectors = word_bins.word_bin_vectors(corpus.tokenized, bins, config["n_bins"], keep_zero=False)
     return cluster_and_describe(corpus.posts, vectors, WORD_BIN_METHOD, config, choice, stop)

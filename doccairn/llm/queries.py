@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from doccairn.catalog.registry import Query, table
 from doccairn.llm import (
-    decontaminate, language_id, neighbours, personal_data, pieces, quality_score, secret_scan, shards,
+    decontaminate, language_id, near_duplicates, neighbours, personal_data, pieces, quality_score, repeats, secret_scan, shards,
 )
 
 #: SentencePiece model of the encoding queries; another file may be named in the environment.
@@ -78,6 +78,12 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+@query()
+def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
 @query()
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -116,6 +122,13 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "found.*")
 
 
+@query()
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = repeats.remove_repeats(table(spark, sf_dir, "documents"))
+    return cleaned.select(
+        F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query()
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")

@@ -1,5 +1,5 @@
-"""Comparison queries. Six clusterings of ``embeddings`` stand in for the runs of two methods:
-each configuration takes the first positions of the vector, each method its own labels."""
+"""Comparison queries. Six clusterings of all documents stand in for the runs of two methods: each
+configuration has word-bin vectors of its own width, each method its own labels."""
 
 from __future__ import annotations
 
@@ -9,26 +9,26 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from doccairn.catalog.registry import query, settled_decimals, sql_decimals, table
-from doccairn.catalog.text_queries import KEYWORD_SQL, POSTS_SQL, STOP_SQL, STOP_WORDS, posts
+from doccairn.catalog.registry import query, settled_decimals, sql_decimals
+from doccairn.catalog.text_queries import KEYWORD_SQL, STOP_SQL, STOP_WORDS, posts
+from doccairn.catalog.word_bin_queries import VECTORS_SQL, DocumentVectors
 from doccairn.functions import labels
 from doccairn.functions.labels import METRICS, PARAGRAPH_METHOD, WORD_BIN_METHOD
-from doccairn.functions.vectors import l2_normalize
 from doccairn.operators import charts, clustering, compare, describe, quality
 from doccairn.sources import results as result_files
 from doccairn.storage import new_path
 
 # The parameters of the three configurations of both methods, with the
-# vector positions taken; one configuration has no name, one no dm.
+# number of ruled bins; one configuration has no name, one no dm.
 PARAGRAPH_CONFIGS = [
-    {"name": "small", "vector_size": 50, "min_count": 2, "epochs": 30, "dm": 1, "take": 16},
-    {"name": "medium", "vector_size": 100, "min_count": 5, "epochs": 40, "dm": None, "take": 32},
-    {"name": "large", "vector_size": 200, "min_count": 2, "epochs": 60, "dm": 0, "take": 64},
+    {"name": "small", "vector_size": 50, "min_count": 2, "epochs": 30, "dm": 1, "bins": 50},
+    {"name": "medium", "vector_size": 100, "min_count": 5, "epochs": 40, "dm": None, "bins": 100},
+    {"name": "large", "vector_size": 200, "min_count": 2, "epochs": 60, "dm": 0, "bins": 200},
 ]
 WORD_BIN_CONFIGS = [
-    {"name": "small", "n_bins": 50, "w2v_vector_size": 150, "w2v_min_count": 2, "take": 16},
-    {"name": "medium", "n_bins": 100, "w2v_vector_size": 150, "w2v_min_count": 2, "take": 32},
-    {"name": None, "n_bins": 200, "w2v_vector_size": 150, "w2v_min_count": 2, "take": 64},
+    {"name": "small", "n_bins": 50, "w2v_vector_size": 150, "w2v_min_count": 2, "bins": 50},
+    {"name": "medium", "n_bins": 100, "w2v_vector_size": 150, "w2v_min_count": 2, "bins": 100},
+    {"name": None, "n_bins": 200, "w2v_vector_size": 150, "w2v_min_count": 2, "bins": 200},
 ]
 CONFIG_FIELDS = ("name", "vector_size", "min_count", "epochs", "dm", "n_bins", "w2v_vector_size", "w2v_min_count")
 RUNS = [(PARAGRAPH_METHOD, 10, c) for c in PARAGRAPH_CONFIGS] + [(WORD_BIN_METHOD, 5, c) for c in WORD_BIN_CONFIGS]
@@ -43,16 +43,16 @@ def literal(value: object) -> str:
 
 
 RUN_VALUES = ", ".join(
-    "(" + ", ".join(map(literal, (i, method, path_of(method, i), modulo, config["take"], *(config.get(f) for f in CONFIG_FIELDS)))) + ")"
+    "(" + ", ".join(map(literal, (i, method, path_of(method, i), modulo, config["bins"], *(config.get(f) for f in CONFIG_FIELDS)))) + ")"
     for i, (method, modulo, config) in enumerate(RUNS)
 )
 
 
 def measured_sql(runs: str, columns: str) -> str:
-    """Quality of several clusterings by the definitions; ``runs`` gives run, modulo and take."""
+    """Quality of several clusterings by the definitions; ``runs`` gives run, modulo and bins."""
     return f"""runs AS (SELECT * FROM (VALUES {runs}) AS t({columns})),
-raw AS (SELECT run, vec_id AS id, label % modulo AS cluster,
-               list_transform(list_slice(embedding, 1, take), lambda x : CAST(x AS DOUBLE)) AS v FROM embeddings, runs),
+widths AS (SELECT DISTINCT bins FROM runs), {VECTORS_SQL},
+raw AS (SELECT run, id, label % modulo AS cluster, v FROM document_vectors JOIN runs USING (bins)),
 unit AS (SELECT run, id, cluster, list_transform(v, lambda x : x / sqrt(list_dot_product(v, v))) AS v FROM raw),
 cells AS (SELECT run, cluster, generate_subscripts(v, 1) AS p, unnest(v) AS x FROM unit),
 cen AS (SELECT run, cluster, list(m ORDER BY p) AS c FROM (SELECT run, cluster, p, avg(x) AS m FROM cells GROUP BY ALL) GROUP BY ALL),
@@ -73,7 +73,7 @@ ab AS (SELECT run, id, cluster, max(CASE WHEN other = cluster THEN d END) AS a,
 sil AS (SELECT run, avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) AS cosine_silhouette FROM ab GROUP BY ALL)"""
 
 
-FLAT_SQL = measured_sql(RUN_VALUES, "run, method_key, json_path, modulo, take, " + ", ".join(CONFIG_FIELDS)) + f""",
+FLAT_SQL = measured_sql(RUN_VALUES, "run, method_key, json_path, modulo, bins, " + ", ".join(CONFIG_FIELDS)) + f""",
 flat AS (
   SELECT run, method_key, CASE method_key WHEN 'doc2vec' THEN 'Doc2Vec' WHEN 'word2vec_bow' THEN 'Word2Vec BoW' ELSE method_key END AS method,
          coalesce(name, 'unknown') AS config_name, CAST(modulo AS INTEGER) AS k, {sql_decimals('cosine_silhouette')} AS cosine_silhouette,
@@ -88,15 +88,6 @@ flat AS (
 best AS (SELECT * FROM flat QUALIFY row_number() OVER (PARTITION BY method_key ORDER BY cosine_silhouette DESC, json_path) = 1)"""
 
 
-def clustered(spark: SparkSession, sf_dir: str, modulo: int, take: int) -> DataFrame:
-    """Unit vectors of the first ``take`` positions, labelled ``label % modulo``."""
-    return l2_normalize(table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").alias("id"),
-        F.slice(F.col("embedding").cast("array<double>"), 1, take).alias("vector"),
-        (F.col("label") % modulo).alias("cluster"),
-    ))
-
-
 def rounded(name: str) -> Column:
     return settled_decimals(F.col(name)).alias(name) if name in METRICS else F.col(name)
 
@@ -107,10 +98,10 @@ def united(build: Callable[[int], DataFrame], keys: Sequence[int]) -> DataFrame:
         return functools.reduce(compare.union_results, pool.map(build, keys))
 
 
-def measured_run(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
+def measured_run(vectors: DocumentVectors, number: int) -> DataFrame:
     """One result document without summaries, measured on the vectors."""
     method, modulo, config = RUNS[number]
-    stats = quality.cluster_stats(quality.score_rows(clustered(spark, sf_dir, modulo, config["take"])))
+    stats = quality.cluster_stats(quality.score_rows(vectors.clustered(config["bins"], modulo)))
     record = quality.quality(stats, modulo)
     return record.select(
         F.lit(method).alias("method"), F.lit(path_of(method, number)).alias("path"),
@@ -120,7 +111,8 @@ def measured_run(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
 
 
 def measured_results(spark: SparkSession, sf_dir: str, method: str | None = None) -> DataFrame:
-    return united(lambda i: measured_run(spark, sf_dir, i), [i for i, r in enumerate(RUNS) if method in (None, r[0])])
+    vectors = DocumentVectors(spark, sf_dir)
+    return united(lambda i: measured_run(vectors, i), [i for i, r in enumerate(RUNS) if method in (None, r[0])])
 
 
 def flat_results(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -224,21 +216,16 @@ def chart_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return charts.metric_bars(flat_results(spark, sf_dir))
 
 
-# The metrics come with six decimals, where a tie at the fourth is common and engines break it
-# differently; a nudge below the sixth decimal removes ties.
-@query(f"""WITH {FLAT_SQL}, long AS (UNPIVOT flat ON {', '.join(METRICS)} INTO NAME metric VALUE exact)
-, nudged AS (SELECT json_path, metric, exact + 0.0000001 AS value FROM long)
-SELECT json_path, metric, CASE WHEN metric = 'calinski_harabasz' THEN printf('%.1f', value) ELSE printf('%.4f', value) END AS text FROM nudged""")
+@query(f"""WITH {FLAT_SQL}, long AS (UNPIVOT flat ON {', '.join(METRICS)} INTO NAME metric VALUE value)
+SELECT json_path, metric, CASE WHEN metric = 'calinski_harabasz' THEN printf('%.1f', value) ELSE printf('%.4f', value) END AS text FROM long""")
 def metric_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = charts.metric_rows(flat_results(spark, sf_dir), "json_path").withColumn(
-        "value", F.col("value") + F.lit(0.0000001)
-    )
+    rows = charts.metric_rows(flat_results(spark, sf_dir), "json_path")
     return rows.select("json_path", "metric", labels.metric_text(F.col("metric"), F.col("value")).alias("text"))
 
 
 # The last k gives the same clusters as the one before it: a tie the smaller k must win.
 SEARCH_MODULI = (1, 2, 3, 5, 7, 10, 11)
-SEARCH_SQL = measured_sql(", ".join(f"({m}, {m}, 64)" for m in SEARCH_MODULI), "run, modulo, take") + f""",
+SEARCH_SQL = measured_sql(", ".join(f"({m}, {m}, 100)" for m in SEARCH_MODULI), "run, modulo, bins") + f""",
 search AS (SELECT CAST(run AS INTEGER) AS k, {sql_decimals('inertia')} AS inertia, {sql_decimals('cosine_silhouette')} AS silhouette
            FROM ch LEFT JOIN (SELECT * FROM sil WHERE run > 1) USING (run)),
 chosen AS (SELECT k FROM search WHERE silhouette IS NOT NULL ORDER BY silhouette DESC, k LIMIT 1)"""
@@ -247,8 +234,10 @@ chosen AS (SELECT k FROM search WHERE silhouette IS NOT NULL ORDER BY silhouette
 def search_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Inertia and silhouette of given clusterings for several k."""
 
+    vectors = DocumentVectors(spark, sf_dir)
+
     def measured(k: int) -> DataFrame:
-        stats = quality.cluster_stats(quality.score_rows(clustered(spark, sf_dir, k, 64)))
+        stats = quality.cluster_stats(quality.score_rows(vectors.clustered(100, k)))
         return quality.quality(stats, k).select(
             F.lit(k).alias("k"), settled_decimals(F.col("inertia")).alias("inertia"),
             settled_decimals(F.col("cosine_silhouette")).alias("silhouette"),
@@ -268,8 +257,7 @@ def elbow_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return charts.elbow_series(search, clustering.select_best_k(search))
 
 
-# Clusters of posts for the descriptions: the labels of the vectors with the same id.
-DESCRIBED_SQL = f"""{FLAT_SQL}, {POSTS_SQL}, {KEYWORD_SQL}, {STOP_SQL},
+DESCRIBED_SQL = f"""{FLAT_SQL}, {KEYWORD_SQL}, {STOP_SQL},
 member AS (SELECT b.method_key, b.config_name, b.run, u.id, u.cluster FROM unit u JOIN best b ON b.run = u.run),
 size_rank AS (SELECT *, row_number() OVER (PARTITION BY method_key ORDER BY size DESC, cluster) AS place FROM (
   SELECT method_key, config_name, cluster, count(*) AS size FROM member GROUP BY ALL)),
@@ -289,11 +277,12 @@ heads AS (SELECT method_key, cluster, 'keyword' AS kind, rank, word || '(' || n
 
 
 def described_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The measured results with cluster summaries from the posts of the same ids."""
+    """The measured results with cluster summaries of their posts."""
+    vectors = DocumentVectors(spark, sf_dir)
 
     def described(number: int) -> DataFrame:
         method, modulo, config = RUNS[number]
-        scored = quality.score_rows(clustered(spark, sf_dir, modulo, config["take"]))
+        scored = quality.score_rows(vectors.clustered(config["bins"], modulo))
         labelled = posts(spark, sf_dir).join(scored.select("id", "cluster"), "id")
         summaries = describe.cluster_summaries(
             quality.complete_range(quality.cluster_stats(scored), modulo),
@@ -332,21 +321,21 @@ words AS (SELECT cluster, string_agg(word, ', ' ORDER BY rank) AS joined FROM pi
 SELECT CAST(s.cluster AS INTEGER) AS cluster, s.size, 'C' || s.cluster || chr(10) || coalesce(joined, '') AS label
 FROM sizes_of s LEFT JOIN words USING (cluster)""")
 def cluster_size_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = clustered(spark, sf_dir, 10, 64).select("id", "cluster")
+    labelled = DocumentVectors(spark, sf_dir).clustered(200).select("id", "cluster")
     keywords = describe.top_keywords(posts(spark, sf_dir).join(labelled, "id"), stop=STOP_WORDS)
     return charts.cluster_size_series(quality.cluster_sizes(labelled, 10), keywords)
 
 
-@query("""WITH sizes AS (SELECT label AS cluster, count(*) AS size FROM embeddings GROUP BY label)
+@query("""WITH sizes AS (SELECT CAST(substr(source, 4) AS INTEGER) % 10 AS cluster, count(*) AS size FROM documents GROUP BY ALL)
 SELECT cluster, size FROM sizes ORDER BY size DESC, cluster LIMIT 5""")
 def largest_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return describe.largest_clusters(quality.cluster_sizes(clustered(spark, sf_dir, 10, 64), 10))
+    return describe.largest_clusters(quality.cluster_sizes(DocumentVectors(spark, sf_dir).clustered(200), 10))
 
 
-@query(f"""WITH {measured_sql("(0, 10, 64)", "run, modulo, take")},
+@query(f"""WITH {measured_sql("(0, 10, 200)", "run, modulo, bins")},
 per_row AS (SELECT cluster, CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END AS s FROM ab)
 SELECT cluster, {sql_decimals('avg(s)')} AS silhouette, {sql_decimals('(SELECT avg(s) FROM per_row)')} AS overall FROM per_row GROUP BY cluster""")
 def silhouette_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stats = quality.cluster_stats(quality.score_rows(clustered(spark, sf_dir, 10, 64)))
+    stats = quality.cluster_stats(quality.score_rows(DocumentVectors(spark, sf_dir).clustered(200)))
     series = charts.silhouette_series(quality.complete_range(stats, 10))
     return series.select("cluster", *[settled_decimals(F.col(n)).alias(n) for n in ("silhouette", "overall")])

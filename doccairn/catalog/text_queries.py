@@ -47,7 +47,7 @@ def posts(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     title = F.substring_index("text", "\n", 1)
     body = F.substring(F.col("text"), F.length(title) + 2, F.length("text"))
     return clean_posts(
-        spread(table(spark, sf_dir, "documents"), "doc_id").select(
+        spread(table(spark, sf_dir, "documents")).select(
             F.col("doc_id").alias("id"), F.col("doc_id").cast("string").alias("reddit_id"),
             F.col("source").alias("subreddit"), title.alias("title"), body.alias("selftext"),
             title.alias("cleaned_title"), body.alias("cleaned_selftext"),
@@ -135,7 +135,7 @@ def stop_word_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The united stop-word list with the number of uses of each word in the posts."""
     listed = spark.createDataFrame([(word,) for word in STOP_WORDS], "word string")
     union = corpus.stop_word_union(listed)
-    uses = lookup_join(corpus.keyword_rows(posts(spark, sf_dir)), union, "word", "id")
+    uses = lookup_join(corpus.keyword_rows(posts(spark, sf_dir)), union, "word")
     counted = uses.groupBy("word").agg(F.count("*").alias("uses"))
     return union.join(counted, "word", "left").fillna(0, subset=["uses"])
 

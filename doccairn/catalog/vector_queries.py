@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from doccairn.catalog.registry import query, settled_decimals, sql_decimals, table
-from doccairn.catalog.text_queries import POSTS_SQL, posts
+from doccairn.catalog.text_queries import posts
+from doccairn.catalog.word_bin_queries import VECTORS_SQL, DocumentVectors
 from doccairn.functions.vectors import l2_normalize as normalize_vectors
 from doccairn.operators import describe, quality
 
@@ -83,17 +84,23 @@ def nearest_to_centroid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.withColumn("cosine_distance", settled_decimals(F.col("cosine_distance")))
 
 
-@query(f"""WITH {UNIT_SQL}, {CENTROID_SQL}, {SCORED_SQL}, {NEAREST_SQL}, {POSTS_SQL}
+# All documents as posts with vectors and clusters of their own.
+DOCUMENT_UNIT_SQL = f"""widths AS (SELECT 100 AS bins), {VECTORS_SQL},
+unit AS (SELECT id, label AS cluster, list_transform(v, lambda x : x / sqrt(list_dot_product(v, v))) AS v FROM document_vectors)"""
+
+
+@query(f"""WITH {DOCUMENT_UNIT_SQL}, {CENTROID_SQL}, {SCORED_SQL}, {NEAREST_SQL}
 SELECT cluster, rank, id, reddit_id, subreddit, title, selftext FROM nearest JOIN posts USING (id)""")
 def representative_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nearest = describe.nearest_to_centroid(scored_vectors(spark, sf_dir)).drop("cosine_distance")
+    scored = quality.score_rows(DocumentVectors(spark, sf_dir).clustered(100))
+    nearest = describe.nearest_to_centroid(scored).drop("cosine_distance")
     return describe.representative_posts(nearest, posts(spark, sf_dir))
 
 
-@query(f"""WITH {UNIT_SQL}, {POSTS_SQL}
+@query(f"""WITH {DOCUMENT_UNIT_SQL}
 SELECT id, cluster, subreddit, title FROM posts JOIN unit USING (id)""")
 def label_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labels = vectors(spark, sf_dir).select("id", "cluster")
+    labels = DocumentVectors(spark, sf_dir).clustered(100).select("id", "cluster")
     return posts(spark, sf_dir).join(labels, "id").select("id", "cluster", "subreddit", "title")
 
 

@@ -4,53 +4,93 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from doccairn.catalog.registry import query, settled_decimals, sql_decimals
+from doccairn.catalog.registry import query, settled_decimals, sql_decimals, table
 from doccairn.catalog.text_queries import POSTS_SQL, token_sql, tokenized_posts
+from doccairn.functions.vectors import l2_normalize
 from doccairn.operators import corpus, word_bins
 from doccairn.storage import settle
 
 BINS = 50
-# Rare enough a vocabulary that some documents have no known word.
-MIN_COUNT = 400
+MIN_COUNT = 5
+
+# Posts without a known word, added on both sides: one of unknown words, one of none.
+ADDED = ((-1, "qqqq zzzz qqqq"), (-2, ""))
 
 BINS_SQL = f"""{POSTS_SQL}, {token_sql('posts')},
-tok AS (SELECT id, unnest(tokens) AS word FROM tokenized),
+every AS (SELECT id, tokens FROM tokenized UNION ALL SELECT id, string_split(body, ' ') FROM (VALUES {", ".join(map(str, ADDED))}) AS t(id, body)),
+tok AS (SELECT id, unnest(tokens) AS word FROM every),
 vocab AS (SELECT word, count(*) AS n FROM tok GROUP BY word HAVING count(*) >= {MIN_COUNT}),
 bins AS (SELECT word, CAST((n + 7 * length(word)) % {BINS} AS INTEGER) AS bin FROM vocab),
 hits AS (SELECT id, bin, count(*) AS tokens FROM tok JOIN bins USING (word) GROUP BY id, bin),
 sums AS (SELECT id, sum(tokens) AS known FROM hits GROUP BY id)"""
 
 
+def every_tokenized(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = spark.createDataFrame(ADDED, "id bigint, body string")
+    bodies = F.filter(F.split("body", " "), lambda word: word != "")
+    return tokenized_posts(spark, sf_dir).select("id", "tokens").unionByName(added.select("id", bodies.alias("tokens")))
+
+
 def ruled_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = corpus.vocabulary(tokenized_posts(spark, sf_dir), MIN_COUNT)
     ruled = words.select("word", ((F.col("count") + 7 * F.length("word")) % BINS).cast("int").alias("bin"))
     return settle(ruled, "word-bins")
 
 
+# Vectors of all documents over ruled bins, for the queries that cluster and compare; the number
+# of the source stands in for fitted clusters. ``widths`` is a table of numbers of bins.
+VECTORS_SQL = f"""{POSTS_SQL}, {token_sql('posts')},
+words_of AS (SELECT id, unnest(tokens) AS word FROM tokenized),
+known AS (SELECT word, count(*) + 7 * length(word) AS rule FROM words_of GROUP BY word HAVING count(*) >= {MIN_COUNT}),
+uses AS (SELECT id, rule, count(*) AS n FROM words_of JOIN known USING (word) GROUP BY ALL),
+spread AS (SELECT bins, id, rule % bins AS p, sum(n) AS n FROM uses, widths GROUP BY ALL),
+places AS (SELECT bins, id, unnest(range(bins)) AS p FROM (SELECT DISTINCT bins, id FROM spread)),
+dense AS (SELECT bins, id, list(CAST(coalesce(n, 0) AS DOUBLE) ORDER BY p) AS v
+          FROM places LEFT JOIN spread USING (bins, id, p) GROUP BY bins, id),
+document_vectors AS (SELECT bins, id, CAST(substr(subreddit, 4) AS INTEGER) % 10 AS label, v FROM dense JOIN posts USING (id))"""
+
+
+class DocumentVectors:
+    """Unit vectors of all documents for any number of ruled bins; words are counted once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        label = F.substring("source", 4, 9).cast("int") % 10
+        self.labels = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), label.alias("label"))
+        self.tokenized = settle(tokenized_posts(spark, sf_dir).select("id", "tokens"), "tokens")
+        rule = (F.col("count") + 7 * F.length("word")).alias("rule")
+        self.words = settle(corpus.vocabulary(self.tokenized, MIN_COUNT).select("word", rule), "word-rules")
+
+    def clustered(self, bins: int, modulo: int = 10) -> DataFrame:
+        """``id, vector, cluster`` of the documents with a known word."""
+        ruled = self.words.select("word", (F.col("rule") % bins).cast("int").alias("bin"))
+        vectors = word_bins.word_bin_vectors(self.tokenized, ruled, bins, keep_zero=False)
+        labels = self.labels.select("id", (F.col("label") % modulo).alias("cluster"))
+        return l2_normalize(vectors.join(labels, "id").select("id", "vector", "cluster"))
+
+
 @query(f"""WITH {BINS_SQL} SELECT id, word, bin, count(*) AS tokens FROM tok JOIN bins USING (word) GROUP BY ALL""")
 def word_bin_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = word_bins.token_bins(tokenized_posts(spark, sf_dir), ruled_bins(spark, sf_dir))
-    return found.groupBy("id", "word", "bin").agg(F.count("*").alias("tokens"))
+    return word_bins.token_bins(every_tokenized(spark, sf_dir), ruled_bins(spark, sf_dir)).select("id", "word", "bin", "tokens")
 
 
-@query(f"""WITH {BINS_SQL}, grid AS (SELECT id, CAST(range AS INTEGER) AS bin FROM posts, range({BINS}))
+@query(f"""WITH {BINS_SQL}, grid AS (SELECT id, CAST(range AS INTEGER) AS bin FROM every, range({BINS}))
 SELECT id, bin, {sql_decimals('coalesce(tokens / known, 0)')} AS value
 FROM grid LEFT JOIN hits USING (id, bin) LEFT JOIN sums USING (id)""")
 def word_bin_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = word_bins.word_bin_vectors(tokenized_posts(spark, sf_dir), ruled_bins(spark, sf_dir), BINS)
+    vectors = word_bins.word_bin_vectors(every_tokenized(spark, sf_dir), ruled_bins(spark, sf_dir), BINS)
     cells = vectors.select("id", F.posexplode("vector").alias("bin", "value"))
     return cells.withColumn("value", settled_decimals(F.col("value")))
 
 
-@query(f"WITH {BINS_SQL} SELECT count(*) AS skipped FROM posts WHERE id NOT IN (SELECT id FROM sums)")
+@query(f"WITH {BINS_SQL} SELECT count(*) AS skipped FROM every WHERE id NOT IN (SELECT id FROM sums)")
 def zero_coverage_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bins.zero_coverage(
-        word_bins.bin_counts(tokenized_posts(spark, sf_dir), ruled_bins(spark, sf_dir))
+        word_bins.bin_counts(every_tokenized(spark, sf_dir), ruled_bins(spark, sf_dir))
     )
 
 
 @query(f"WITH {BINS_SQL} SELECT id, CAST(count(*) AS INTEGER) AS used_bins FROM hits GROUP BY id")
 def drop_zero_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = word_bins.word_bin_vectors(tokenized_posts(spark, sf_dir), ruled_bins(spark, sf_dir), BINS)
+    vectors = word_bins.word_bin_vectors(every_tokenized(spark, sf_dir), ruled_bins(spark, sf_dir), BINS)
     kept = word_bins.drop_zero_vectors(vectors)
     return kept.select("id", F.size(F.filter("vector", lambda x: x > 0)).alias("used_bins"))

@@ -22,11 +22,29 @@ def method_order(key: Column) -> Column:
     return F.when(key == PARAGRAPH_METHOD, 0).otherwise(1)
 
 
+def fixed_text(value: Column, digits: int) -> Column:
+    """``value`` with ``digits`` decimals, rounded by its exact binary value, ties to even.
+
+    The product with a power of ten is taken with its rounding error (Dekker), so a value
+    just beside a tie is told from the tie. Very large values have no decimals to round.
+    """
+    power = float(10**digits)
+    high_power = power  # at most 27 bits, so its low half is zero
+    spread = value * 134217729.0
+    high = spread - (spread - value)
+    low = value - high
+    product = value * power
+    error = (high * high_power - product) + low * high_power
+    floor = F.floor(product).cast("double")
+    part = product - floor
+    up = (part > 0.5) | ((part == 0.5) & ((error > 0) | ((error == 0) & (floor % 2 != 0))))
+    rounded = (floor + F.when(up, 1.0).otherwise(0.0)) / power
+    return F.format_string(f"%.{digits}f", F.when(F.abs(value) < 1e9, rounded).otherwise(value))
+
+
 def metric_text(metric: Column, value: Column) -> Column:
     """Four decimals, one for Calinski-Harabasz, empty for null."""
-    text = F.when(metric == "calinski_harabasz", F.format_string("%.1f", value)).otherwise(
-        F.format_string("%.4f", value)
-    )
+    text = F.when(metric == "calinski_harabasz", fixed_text(value, 1)).otherwise(fixed_text(value, 4))
     return F.when(value.isNull(), "").otherwise(text)
 
 

@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from doccairn.functions.labels import METRICS, PARAGRAPH_METHOD, method_name, method_order, shown
+from doccairn.functions.labels import METRICS, PARAGRAPH_METHOD, fixed_text, method_name, method_order, shown
 
 
 def field(path: str, default: Column | None = None) -> Column:
@@ -114,7 +114,7 @@ def theme_rows(themes: DataFrame) -> DataFrame:
         F.struct(F.lit("group").alias("kind"), F.transform("theme.groups", lambda g: F.format_string(
             "%s:%d", g["name"], g["count"])).alias("texts")),
         F.struct(F.lit("post").alias("kind"), F.transform("theme.posts", lambda p: F.format_string(
-            "[r/%s] %s", p["subreddit"], p["title"])).alias("texts")),
+            "[r/%s] %s", F.coalesce(p["subreddit"], F.lit("")), F.coalesce(p["title"], F.lit("")))).alias("texts")),
     )
     kinds = one.select(
         "method", "config_name", "k", F.col("theme.cluster").alias("cluster"), F.col("theme.size").alias("size"),
@@ -133,7 +133,7 @@ def theme_text(themes: DataFrame) -> DataFrame:
             return F.array_join(F.transform(theme[items], form), ", ")
 
         silhouette = F.when(theme["silhouette"].isNull(), "n/a").otherwise(
-            F.format_string("%.4f", theme["silhouette"])
+            fixed_text(theme["silhouette"], 4)
         )
         posts = F.transform(theme["posts"], lambda p, i: F.format_string(
             "    %d. [r/%s] %s", i + 1, F.coalesce(p["subreddit"], F.lit("")), F.coalesce(p["title"], F.lit(""))

@@ -56,7 +56,7 @@ def stop_word_union(stop: DataFrame) -> DataFrame:
 def drop_stop_words(words: DataFrame, stop: list[str] | DataFrame) -> DataFrame:
     """Keep rows whose ``word`` is not a stop word; a list becomes a plain filter."""
     if isinstance(stop, DataFrame):
-        return lookup_join(words, stop.select("word").distinct(), "word", "id", "left_anti")
+        return lookup_join(words, stop.select("word").distinct(), "word", "left_anti")
     return words.where(~F.col("word").isin(with_stripped_forms(stop)))
 
 

@@ -59,12 +59,8 @@ def group_distribution(
 
 def with_share(distribution: DataFrame, cluster: str = "cluster") -> DataFrame:
     """Add ``share``, the percentage of its cluster's counted posts."""
-    totals = distribution.groupBy(cluster).agg(F.sum("count").alias("__total"))
-    return (
-        distribution.join(totals, cluster)
-        .withColumn("share", 100.0 * F.col("count") / F.col("__total"))
-        .drop("__total")
-    )
+    total = F.sum("count").over(Window.partitionBy(cluster))
+    return distribution.withColumn("share", 100.0 * F.col("count") / total)
 
 
 def top_groups(
@@ -98,7 +94,11 @@ def representative_posts(nearest: DataFrame, posts: DataFrame) -> DataFrame:
 def cluster_summaries(
     complete: DataFrame, keywords: DataFrame, distribution: DataFrame, representatives: DataFrame
 ) -> DataFrame:
-    """Nested record per cluster. All inputs are already cut to a few rows per cluster."""
+    """Nested record per cluster, as a result document has it.
+
+    Keywords and posts are cut to a few rows per cluster; groups are all there, one entry
+    per group name. Where there may be very many, keep :func:`group_distribution` as a table.
+    """
     words = keywords.groupBy("cluster").agg(
         F.array_sort(F.collect_list(F.struct("rank", "word", "count"))).alias("words")
     )

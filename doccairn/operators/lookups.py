@@ -2,24 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-BROADCAST_ROWS = 1_000_000
-SALTS = 16
 
+def lookup_join(facts: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join ``facts`` with ``lookup`` (unique ``key``).
 
-def lookup_join(
-    facts: DataFrame, lookup: DataFrame, key: str, spread: str, how: str = "inner",
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Join ``facts`` with ``lookup`` (unique ``key``) without a hot-key bottleneck.
-
-    ``lookup`` should be a settled table: its rows are counted. Up to ``broadcast_rows``
-    it is broadcast; beyond that both sides shuffle on the key and a salt taken from
-    ``spread``, so the rows of one hot key reach ``SALTS`` tasks.
+    A settled lookup table has an exact size, by which Spark broadcasts it or shuffles both
+    sides; adaptive execution then splits the tasks of a hot key. Callers count equal facts
+    first, so that a hot key has a row per document at most.
     """
-    if lookup.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        return facts.join(F.broadcast(lookup), key, how)
-    salted = facts.withColumn("__salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int"))
-    copies = lookup.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return salted.join(copies, [key, "__salt"], how).drop("__salt")
+    return facts.join(lookup, key, how)

@@ -7,27 +7,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from doccairn.functions.vectors import total
-from doccairn.operators.lookups import BROADCAST_ROWS, lookup_join
+from doccairn.operators.lookups import lookup_join
 
 
-def token_bins(
-    tokenized: DataFrame, word_bins: DataFrame, how: str = "inner", broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
-    """One row per token with the ``bin`` of its word; ``inner`` keeps known words only."""
-    tokens = tokenized.select("id", F.explode_outer("tokens").alias("word"))
-    return lookup_join(tokens, word_bins, "word", "id", how, broadcast_rows)
+def word_counts(tokenized: DataFrame) -> DataFrame:
+    """``id, word, tokens``: the words of each document, counted; a document without any keeps a null."""
+    words = tokenized.select("id", F.explode_outer("tokens").alias("word"))
+    return words.groupBy("id", "word").agg(F.count("*").alias("tokens"))
 
 
-def bin_counts(
-    tokenized: DataFrame, word_bins: DataFrame, broadcast_rows: int = BROADCAST_ROWS
-) -> DataFrame:
+def token_bins(tokenized: DataFrame, word_bins: DataFrame, how: str = "inner") -> DataFrame:
+    """``id, word, tokens`` with the ``bin`` of each word; ``inner`` keeps known words only."""
+    return lookup_join(word_counts(tokenized), word_bins, "word", how)
+
+
+def bin_counts(tokenized: DataFrame, word_bins: DataFrame) -> DataFrame:
     """Per document its bins, their token counts, and the number of known tokens.
 
-    Documents without a known word stay, with empty arrays. If ``tokenized`` is already
-    partitioned by ``id`` neither aggregation shuffles.
+    Documents without a known word stay, with empty arrays.
     """
-    found = token_bins(tokenized, word_bins, "left", broadcast_rows)
-    per_bin = found.groupBy("id", "bin").agg(F.count("*").alias("tokens"))
+    found = token_bins(tokenized, word_bins, "left")
+    per_bin = found.groupBy("id", "bin").agg(F.sum("tokens").alias("tokens"))
     known = F.when(F.col("bin").isNotNull(), F.struct("bin", "tokens"))
     return per_bin.groupBy("id").agg(F.array_sort(F.collect_list(known)).alias("__bins")).select(
         "id", F.col("__bins.bin").alias("bins"), F.col("__bins.tokens").alias("counts"),
@@ -52,14 +52,13 @@ def dense_frequencies(bins: Column, counts: Column, n_bins: int) -> Column:
 
 
 def word_bin_vectors(
-    tokenized: DataFrame, word_bins: DataFrame, n_bins: int, broadcast_rows: int = BROADCAST_ROWS,
-    keep_zero: bool = True,
+    tokenized: DataFrame, word_bins: DataFrame, n_bins: int, keep_zero: bool = True,
 ) -> DataFrame:
     """``id`` and ``vector``: tokens per bin over the known tokens of the document.
 
     Without ``keep_zero`` the documents with no known word drop out before their vector is built.
     """
-    counted = bin_counts(tokenized, word_bins, broadcast_rows)
+    counted = bin_counts(tokenized, word_bins)
     if not keep_zero:
         counted = counted.where(F.col("known") > 0)
     vector = dense_frequencies(F.col("bins"), F.col("counts"), n_bins)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
 
 # The columns of a posts table, and those whose nulls become "".
 POST_COLUMNS = (
@@ -22,13 +22,26 @@ def clean_posts(raw: DataFrame) -> DataFrame:
     return raw.select(F.col("id").try_cast("bigint").alias("id"), *strings, *extra).fillna("", subset=list(TEXT_COLUMNS))
 
 
-def spread(rows: DataFrame, key: str = "id") -> DataFrame:
+def spread(rows: DataFrame) -> DataFrame:
     """Scanned rows over all cores.
 
-    A scan with fewer splits than cores is shuffled by ``key``; a large one stays as it is.
+    A scan with fewer splits than cores is dealt out evenly; a large one stays as it is.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores, key)
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
+def ids_are_keys(posts: DataFrame) -> bool:
+    """Whether every post has an id and no two have the same; only ids are shuffled."""
+    return posts.groupBy("id").agg(F.count("*").alias("n")).where("id is null or n > 1").isEmpty()
+
+
+def keyed_posts(posts: DataFrame) -> DataFrame:
+    """Posts numbered in reading order as ``id``, with the id they came with as ``post_id``.
+
+    Store the result before it is used twice: the numbers follow the splits of the scan.
+    """
+    return posts.withColumn("post_id", F.col("id")).withColumn("id", F.monotonically_increasing_id())
 
 
 def read_posts(spark: SparkSession, path: str) -> DataFrame:
@@ -47,13 +60,14 @@ def read_posts_jdbc(
 
     Without ``bounds`` the smallest and largest id are asked from the database.
     """
-    source = spark.read.format("jdbc").options(url=url, **options)
+
+    def reader() -> DataFrameReader:  # options stay on a reader, so every load has its own
+        return spark.read.format("jdbc").options(url=url, **options)
+
     if bounds is None:
-        low, high = source.option(
-            "query", f"SELECT MIN(id) AS low, MAX(id) AS high FROM {table}"
-        ).load().first()
+        low, high = reader().option("query", f"SELECT MIN(id) AS low, MAX(id) AS high FROM {table}").load().first()
         bounds = (int(low or 0), int(high or 0))
-    ranged = source.options(
+    ranged = reader().options(
         dbtable=table, partitionColumn="id", lowerBound=bounds[0],
         upperBound=max(bounds[1], bounds[0] + 1), numPartitions=partitions,
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 # The layout of a result document as it is written and read.
 CONFIG_TYPE = (
@@ -43,24 +43,29 @@ def valid_results(documents: DataFrame) -> DataFrame:
 def read_results(spark: SparkSession, folder: str, method: str) -> DataFrame:
     """Result documents under ``folder``, tagged with ``method`` and their ``path``.
 
-    Files of combined results are skipped by name.
+    Combined results are skipped by the name of their file or its folder.
     """
     documents = (
         spark.read.schema(RESULT_SCHEMA)
         .options(multiLine=True, recursiveFileLookup=True, pathGlobFilter="*.json")
         .json(folder)
-        .select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("__file"))
+        .select("*", F.col("_metadata.file_path").alias("path"))
     )
-    single = documents.where(~F.col("__file").contains(COMBINED_MARK)).drop("__file")
-    return valid_results(single).withColumn("method", F.lit(method))
+    combined = F.substring_index("path", "/", -2).contains(COMBINED_MARK)
+    return valid_results(documents.where(~combined)).withColumn("method", F.lit(method))
 
 
 def write_result(result: DataFrame, folder: str) -> None:
-    """One result document per configuration, in a folder named after it."""
-    named = result.select(*RESULT_COLUMNS, F.col("config.name").alias("config_name"))
+    """One file per result, in folders by configuration name and number among equal names.
+
+    A reader takes one document from a file, so no two results may share one. The few
+    results of a sweep are numbered in order of their content.
+    """
+    alike = Window.partitionBy("config.name").orderBy(F.to_json(F.struct(*RESULT_COLUMNS)))
+    named = result.select(*RESULT_COLUMNS, F.col("config.name").alias("config_name"), F.row_number().over(alike).alias("run"))
     named.write.mode("overwrite").option("ignoreNullFields", False).option(
         "partitionOverwriteMode", "dynamic"
-    ).partitionBy("config_name").json(folder)
+    ).partitionBy("config_name", "run").json(folder)
 
 
 def combine_results(results: DataFrame, best: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from doccairn.operators import compare
+from doccairn.operators import compare, embedding
+from doccairn.operators.embedding import Training
 from doccairn.plans import comparison, runs, sweeps
 from doccairn.plans.corpus import prepare
 from doccairn.plans.runs import Choice
@@ -135,8 +136,32 @@ def test_no_best_result_leaves_the_recommendation_empty(spark, both_sweeps):
     assert combined["recommended_configuration"] is None and len(combined["results"]) == 2
 
 
-def test_posts_from_jdbc_plan_ranges(spark):
-    """The reader's ranges without a database: a missing driver is all that may fail."""
+@pytest.mark.parametrize("bounds", [None, (1, 10)])
+def test_posts_from_jdbc_plan_ranges(spark, bounds):
+    """The reader's options without a database: a missing driver is all that may fail."""
     from doccairn.sources.posts import read_posts_jdbc
-    with pytest.raises(Exception, match="(?i)driver|jdbc"):
-        read_posts_jdbc(spark, "jdbc:nosuchdb://host/db", bounds=(1, 10))
+    with pytest.raises(Exception, match="(?i)driver") as caught:
+        read_posts_jdbc(spark, "jdbc:nosuchdb://host/db", bounds=bounds)
+    assert "both" not in str(caught.value).lower()
+
+
+def test_results_of_one_name_stay_apart(spark, both_sweeps, tmp_path):
+    one = both_sweeps[0].results.limit(1)
+    nameless = one.withColumn("config", F.col("config").withField("name", F.lit(None).cast("string")))
+    results.write_result(one.unionByName(one).unionByName(one).unionByName(nameless).unionByName(nameless), str(tmp_path))
+    results.combine_results(one, one).write.json(f"{tmp_path}/all_configs")
+    names = [r["name"] for r in results.read_results(spark, str(tmp_path), "doc2vec").select("config.name").collect()]
+    assert len(names) == 5 and names.count(None) == 2
+
+
+def test_posts_without_an_id_or_with_a_repeated_one(spark):
+    made = [(None if i % 7 == 0 else str(i // 2), f"word{i % 3} common text", "more common text") for i in range(40)]
+    raw = spark.createDataFrame(made, "id string, title string, selftext string").select(
+        "*", F.col("title").alias("cleaned_title"), F.col("selftext").alias("cleaned_selftext"),
+        *[F.lit(None).cast("string").alias(n) for n in ("reddit_id", "subreddit", "keywords")])
+    corpus = prepare(clean_posts(raw))
+    assert corpus.tokenized.select("id").distinct().count() == 40
+    assert corpus.posts.where("post_id is null").count() == 6
+    trained = embedding.train(corpus.tokenized, Training(mode="dbow", vector_size=4, min_count=1, epochs=1))
+    assert trained.vectors.select("id").distinct().count() == 40
+    assert trained.vectors.join(corpus.posts, "id").count() == 40

@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from doccairn.functions.text import default_stop_words, has_text
 from doccairn.operators import corpus, describe
+from doccairn.functions.labels import fixed_text
 from doccairn.operators.lookups import lookup_join
 from doccairn.sources.posts import clean_posts
 
@@ -57,16 +58,22 @@ def test_stop_words(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti"])
-def test_salted_lookup_equals_broadcast(spark, how):
-    """Half of all rows carry one key; the wide way must not lose or repeat any."""
+def test_lookup_with_a_hot_key(spark, how):
+    """Half of all rows carry one key; broadcast and shuffled lookups agree."""
     facts = spark.range(2000).select("id", F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("w"), F.col("id") % 40)).alias("word"))
     lookup = spark.createDataFrame([("hot", 0)] + [(f"w{i}", i) for i in range(0, 40, 3)], "word string, bin int")
-    small = lookup_join(facts, lookup, "word", "id", how)
-    wide = lookup_join(facts, lookup, "word", "id", how, broadcast_rows=3)
-    assert "__salt" not in wide.columns
+    small = lookup_join(facts, F.broadcast(lookup), "word", how)
+    wide = lookup_join(facts, lookup.hint("merge"), "word", how)
     assert sorted(map(str, small.collect())) == sorted(map(str, wide.select(small.columns).collect()))
 
 
+def test_fixed_text_rounds_the_binary_value(spark):
+    values = [0.00015, 0.00025, 0.125, 2.5, 0.5, 0.0, -0.00015, -2.5, 12345.67895, 1e12, 0.99995, 1 / 3] + [i / 100000 + 0.00005 for i in range(300)]
+    frame = spark.createDataFrame([(v,) for v in values], "v double").select("v", fixed_text(F.col("v"), 4), fixed_text(F.col("v"), 1))
+    for value, four, one in frame.collect():
+        assert (four, one.replace("-0.0", "0.0")) == (f"{value:.4f}", f"{value:.1f}".replace("-0.0", "0.0")), value
+
+
 def test_blank_bodies(spark):
     frame = spark.createDataFrame([("a",), (" \t \x1c",), ("",), (None,)], "s string")
     assert [r[0] for r in frame.select(has_text(F.col("s"))).collect()] == [True, False, False, False]

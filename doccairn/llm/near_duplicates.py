@@ -5,11 +5,13 @@ shorter document is one shingle). Universal hash functions give ``HASHES`` minim
 ``ROWS``; documents that agree in a band meet in a bucket. Documents with equal sets are one node
 before anything else happens, so exact copies cost nothing further.
 
-A bucket never emits all its pairs. Round by round it compares a few centres with its members,
-drops pairs whose signatures are too far apart to link, and confirms the rest on the full
-sets. Linked nodes form components (alternating large-star and small-star); a bucket is done when
-its members are in one component or every pair across components has been compared. Only
-buckets of at most ``SMALL`` members that are still open compare all pairs across components at once.
+A bucket never emits all its pairs. First one centre is compared with its members: pairs whose
+signatures are too far apart to link are dropped, the rest confirmed on the full sets. Linked
+nodes form components (alternating large-star and small-star), and a bucket whose members are in
+one component is done. The nodes of the other buckets meet anew in buckets of their rarest
+shingles, which loses no link and parts what only shares common text. There, up to ``HEADS``
+members outside the largest component are compared with the bucket in a round and then leave it,
+so that in the end every pair across components has been compared.
 A pair with a similarity of 0.85 shares no band with a chance of (1 - 0.85**4)**24, about 2e-8.
 
 Defined results: null and empty texts, and texts of blanks, have the empty set and are linked with
@@ -24,7 +26,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from doccairn.storage import discard, settle
 
@@ -35,8 +37,10 @@ BANDS = HASHES // ROWS
 PERCENT = 85
 #: Least share of equal minima; 0.85 falls below it with a chance under 1e-9.
 LEAST_AGREEMENT = 0.6
-SMALL = 16
-CENTRES = 8
+#: Orders by which buckets choose their first centre; a node meets a few centres, not one.
+CENTRES = 4
+#: Members outside a bucket's largest component that a round compares with the bucket.
+HEADS = 64
 #: Most ids (of 8 bytes) sent to every task to pick out the texts of bucket members.
 BROADCAST_IDS = 1_000_000
 PIECE = 4096
@@ -152,35 +156,58 @@ def components(edges: DataFrame, temporary: list[str]) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
-def _links(members: DataFrame, work: _Rounds) -> DataFrame | None:
-    """``node, component`` of all linked nodes that share buckets; None if there are none."""
-    centre = members.groupBy("bucket").agg(F.min("node").alias("centre"))
-    pairs = members.join(centre, "bucket").where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
-    links = work.settle(work.confirm(pairs), "near-links")
-    found = [links]
-    members = members.join(centre.withColumnRenamed("centre", "node"), ["bucket", "node"], "left_anti")
-    while True:
-        edges = found[0]
-        for more in found[1:]:
-            edges = edges.unionByName(more)
-        parts = work.settle(components(edges, work.temporary), "near-components")
-        placed = members.join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-        shape = placed.groupBy("bucket").agg(
-            F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n"),
-            F.array_compact(F.array(*[
-                F.min(F.when(F.pmod(F.xxhash64("node"), F.lit(CENTRES)) == i, F.col("node"))) for i in range(CENTRES)
-            ])).alias("centres")).where("low < high")
-        still = work.settle(placed.join(shape.select("bucket", "n", "centres"), "bucket"), "near-open")
-        if still.isEmpty():
-            return None if parts.isEmpty() else parts
-        few, many = still.where(F.col("n") <= SMALL), still.where(F.col("n") > SMALL)
-        other = few.select("bucket", F.col("node").alias("b"), F.col("component").alias("cb"))
-        close = few.join(other, "bucket").where((F.col("node") < F.col("b")) & (F.col("component") != F.col("cb"))).select(F.col("node").alias("a"), "b")
-        heads = many.where(F.array_contains("centres", F.col("node"))).select(
-            "bucket", F.col("node").alias("a"), F.col("component").alias("ca"))
-        far = many.join(heads, "bucket").where("node <> a and component <> ca").select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-        found.append(work.settle(work.confirm(close.unionByName(far).distinct()), "near-links"))
-        members = work.settle(many.where(~F.array_contains("centres", F.col("node"))).select("bucket", "node"), "near-left")
+def _prefixes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """``bucket, node``: the rarest shingles of each node, as many as similar sets cannot all lack.
+
+    Two sets that are similar enough share a shingle among the first ``n - ceil(percent * n / 100) + 1``
+    of each, in any common order; rare ones first keeps the buckets small.
+    """
+    held = nodes.join(sets.toDF("node", "members"), "node").select("node", F.size("members").alias("n"), F.explode("members").alias("bucket"))
+    spread = held.groupBy("bucket").agg(F.count("*").alias("spread"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("spread", "bucket"))
+    first = F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1
+    return held.join(spread, "bucket").withColumn("place", place).where((F.col("place") <= first) & (F.col("spread") > 1)).select("bucket", "node")
+
+
+def _open(members: DataFrame, parts: DataFrame, work: _Rounds) -> DataFrame:
+    """Members of the buckets that hold several components, with the one that has most of them."""
+    placed = members.join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    shares = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    most = shares.groupBy("bucket").agg(
+        F.max_by("component", F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
+    return work.settle(placed.join(most.select("bucket", "most"), "bucket"), "near-open")
+
+
+def _union(tables: list[DataFrame]) -> DataFrame:
+    whole = tables[0]
+    for more in tables[1:]:
+        whole = whole.unionByName(more)
+    return whole
+
+
+def _links(members: DataFrame, work: _Rounds) -> DataFrame:
+    """``node, component`` of all linked nodes that share buckets."""
+    family = F.pmod("bucket", F.lit(CENTRES))
+    centre = members.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", family)).alias("centre"))
+    pairs = members.join(centre, "bucket").where("node <> centre").select(
+        F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
+    found = [work.settle(work.confirm(pairs), "near-links")]
+    parts = work.settle(components(found[0], work.temporary), "near-components")
+    # buckets with one component are done; the nodes of the rest meet in buckets of rare shingles
+    rest = _open(members, parts, work).select("node").distinct()
+    still = _open(work.settle(_prefixes(rest, work.sets, work.percent), "near-prefixes"), parts, work)
+    while not still.isEmpty():
+        chosen = Window.partitionBy("bucket").orderBy(F.xxhash64("node"), "node")
+        heads = work.settle(
+            still.where("component <> most").withColumn("place", F.row_number().over(chosen)).where(F.col("place") <= HEADS)
+            .select("bucket", F.col("node").alias("head"), F.col("component").alias("own")), "near-heads")
+        across = still.join(heads, (still["bucket"] == heads["bucket"]) & (F.col("component") != F.col("own"))).select(
+            F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
+        found.append(work.settle(work.confirm(across), "near-links"))
+        left = still.select("bucket", "node").join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti")
+        parts = work.settle(components(_union(found), work.temporary), "near-components")
+        still = _open(left, parts, work)
+    return parts
 
 
 def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -200,11 +227,7 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text: str =
         needed = F.broadcast(needed)
     sets = settle(source.join(needed, "id").mapInPandas(_sets, f"id {kind}, members array<long>"), "near-sets", temporary)
     parts = _links(members, _Rounds(nodes, sets, percent, temporary))
-    if parts is None:
-        labels = nodes.select("mark", "mark2", "n", F.col("node").alias("component_id"))
-    else:
-        labels = nodes.join(parts, "node", "left").select(
-            "mark", "mark2", "n", F.coalesce("component", "node").alias("component_id"))
+    labels = nodes.join(parts, "node", "left").select("mark", "mark2", "n", F.coalesce("component", "node").alias("component_id"))
     labels = settle(labels, "near-labels")
     discard(documents.sparkSession, temporary)
     joined = sketches.join(labels, ["mark", "mark2", "n"], "left")

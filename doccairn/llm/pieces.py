@@ -32,7 +32,10 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 BLANK = "▁"
 #: Chunks and pairs a task remembers before it starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 150_000
+#: Characters of texts encoded together.
+TOGETHER = 1 << 20
+BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Added to the worst score for a character without a piece, as the format has it.
 UNKNOWN_PENALTY = 10.0
 NORMAL, UNKNOWN, USER_DEFINED, BYTE = 1, 2, 4, 6
@@ -75,6 +78,7 @@ class PieceModel:
         self.stable: dict[str, bool] = {}
         self.histories: dict[str, tuple[bool, list[tuple[float, str, str]]]] = {}
         self.prefixes = {p[:n] for p in self.arcs for n in range(1, len(p))}
+        self._tables()
 
     def _cuts(self) -> None:
         """Pattern of the chunks: characters that stand side by side in some piece form groups,
@@ -213,6 +217,98 @@ class PieceModel:
                 left.pop()
         return [chunk[i:j] for i, j in zip(trail, trail[1:])]
 
+    def _tables(self) -> None:
+        """Hashes of pieces and of their beginnings, for many chunks at once."""
+        self.texts = {number: piece for piece, (number, _) in self.arcs.items()}
+        sound = {p: n for p, (n, _) in self.arcs.items() if self.merges and self._history(p)[0]}
+        hashes = _text_hashes(list(sound))
+        order = np.argsort(hashes)
+        self.piece_hashes, self.piece_ids = hashes[order], np.array(list(sound.values()), dtype=np.int64)[order]
+        self.prefix_hashes = np.sort(_text_hashes(list(self.prefixes)))
+        #: Pairs seen so far (left id * size + right id), sorted, and whether they may stand.
+        self.pairs, self.pair_allowed = np.empty(0, dtype=np.int64), np.empty(0, dtype=bool)
+
+    def _may_follow(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        size = len(self.surface)
+        keys, place = np.unique(left * size + right, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.pairs, keys), max(len(self.pairs) - 1, 0))
+        fresh = self.pairs[at] != keys if len(self.pairs) else np.ones(len(keys), dtype=bool)
+        if fresh.any():
+            new = keys[fresh]
+            judged = np.array([self._allowed(self.texts[k // size], self.texts[k % size]) for k in new.tolist()])
+            if len(self.pairs) > 20 * REMEMBERED:
+                self.pairs, self.pair_allowed = np.empty(0, dtype=np.int64), np.empty(0, dtype=bool)
+                return self._may_follow(left, right)
+            where = np.searchsorted(self.pairs, new)
+            self.pairs, self.pair_allowed = np.insert(self.pairs, where, new), np.insert(self.pair_allowed, where, judged)
+            at = np.searchsorted(self.pairs, keys)
+        return self.pair_allowed[at][place]
+
+    def _solve(self, chunks: list[str]) -> list[list[int]]:
+        """Ids of many chunks at once.
+
+        For a merge model all chunks advance together, one place at a time: of the arcs that
+        arrive there, the one that may follow the path before it is taken. Chunks with characters
+        outside the vocabulary, and unigram models, go one by one.
+        """
+        if not self.merges:
+            return [self._chunk_ids(c) for c in chunks]
+        lengths = np.array([len(c) for c in chunks])
+        codes = np.frombuffer("".join(chunks).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
+        ends = np.cumsum(lengths)
+        starts = ends - lengths
+        limit = np.repeat(ends, lengths)
+        froms, tos, pieces = [], [], []
+        alive, hashes = np.arange(len(codes)), np.zeros(len(codes), dtype=np.uint64)
+        for size in range(1, self.longest + 1):
+            hashes = hashes * BASE + codes[alive + size - 1] + np.uint64(1)
+            found = np.minimum(np.searchsorted(self.piece_hashes, hashes), len(self.piece_hashes) - 1)
+            met = self.piece_hashes[found] == hashes
+            froms.append(alive[met])
+            tos.append(alive[met] + size)
+            pieces.append(self.piece_ids[found[met]])
+            further = np.minimum(np.searchsorted(self.prefix_hashes, hashes), len(self.prefix_hashes) - 1)
+            goes = (self.prefix_hashes[further] == hashes) & (alive + size < limit[alive])
+            alive, hashes = alive[goes], hashes[goes]
+            if not len(alive):
+                break
+        begin, end, piece = map(np.concatenate, (froms, tos, pieces))
+        first = np.repeat(starts, lengths)[begin]
+        step = end - first
+        order = np.argsort(step, kind="stable")
+        begin, end, piece, first = begin[order], end[order], piece[order], first[order]
+        # by place after `end`: the last piece of the path so far, and where it began
+        last, came = np.full(len(codes) + 1, -1), np.zeros(len(codes) + 1, dtype=np.int64)
+        for low, high in zip(*_ranges(step[order])):
+            b, e, p = begin[low:high], end[low:high], piece[low:high]
+            head = b == first[low:high]
+            before = last[b - 1]
+            held = head | (before >= 0)
+            inner = np.flatnonzero(held & ~head)
+            if len(inner):
+                held[inner] = self._may_follow(before[inner], p[inner])
+            last[e[held] - 1], came[e[held] - 1] = p[held], b[held]
+        return self._paths(chunks, starts, ends, last, came)
+
+    def _paths(self, chunks: list[str], starts: np.ndarray, ends: np.ndarray, last: np.ndarray, came: np.ndarray) -> list[list[int]]:
+        at, count, rows = ends.copy(), np.zeros(len(chunks), dtype=np.int64), []
+        open_chunks = np.arange(len(chunks))
+        broken = np.zeros(len(chunks), dtype=bool)
+        while len(open_chunks):
+            piece = last[at[open_chunks] - 1]
+            broken[open_chunks[piece < 0]] = True
+            open_chunks, piece = open_chunks[piece >= 0], piece[piece >= 0]
+            rows.append((open_chunks, count[open_chunks], piece))
+            count[open_chunks] += 1
+            at[open_chunks] = came[at[open_chunks] - 1]
+            open_chunks = open_chunks[at[open_chunks] > starts[open_chunks]]
+        table = np.zeros(int(count.sum()), dtype=np.int64)
+        tail = np.cumsum(count)
+        for which, depth, piece in rows:
+            table[tail[which] - 1 - depth] = piece
+        ids, heads = table.tolist(), (tail - count).tolist()
+        return [self._chunk_ids(c) if bad else ids[a:b] for c, bad, a, b in zip(chunks, broken.tolist(), heads, tail.tolist())]
+
     def _chunk_ids(self, chunk: str) -> list[int]:
         ids: list[int] = []
         for piece in self._only(chunk) if self.merges else self._shortest(chunk):
@@ -225,18 +321,30 @@ class PieceModel:
                 ids.append(self.unknown)
         return ids
 
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of some texts; chunks not met before are solved together."""
+        split = [self.chunks.findall(self.normalise(t)) for t in texts]
+        known = self.known
+        fresh = set().union(*split).difference(known)
+        if len(known) + len(fresh) > REMEMBERED:
+            known.clear()
+            fresh = set().union(*split)
+        todo = sorted(fresh)
+        for at in range(0, len(todo), 1 << 15):
+            part = todo[at : at + (1 << 15)]
+            known.update(zip(part, self._solve(part)))
+        out = []
+        for own in split:
+            ids: list[int] = []
+            for chunk in own:
+                ids += known[chunk]
+            if not self.bytes:  # one unknown for a run of unknown characters, also across chunks
+                ids = [i for n, i in enumerate(ids) if i != self.unknown or not n or ids[n - 1] != self.unknown]
+            out.append(np.array(ids, dtype=np.int32))
+        return out
+
     def encode(self, text: str) -> np.ndarray:
-        known, out = self.known, []
-        for chunk in self.chunks.findall(self.normalise(text)):
-            ids = known.get(chunk)
-            if ids is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                ids = known[chunk] = self._chunk_ids(chunk)
-            out += ids
-        if not self.bytes and out:  # one unknown for a run of unknown characters, also across chunks
-            out = [i for n, i in enumerate(out) if i != self.unknown or not n or out[n - 1] != self.unknown]
-        return np.array(out, dtype=np.int32)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray) -> str:
         surface = self.surface
@@ -244,6 +352,36 @@ class PieceModel:
         return text[1:] if self.prefix and text.startswith(" ") else text
 
 
+def _ranges(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of the runs of equal values in a sorted array."""
+    heads = np.flatnonzero(np.concatenate([[True], steps[1:] != steps[:-1]])) if len(steps) else np.empty(0, dtype=np.int64)
+    return heads, np.append(heads[1:], len(steps))[: len(heads)]
+
+
+def _text_hashes(texts: list[str]) -> np.ndarray:
+    """The rolling hash of each text."""
+    out = []
+    for text in texts:
+        value = 0
+        for c in text:
+            value = (value * int(BASE) + ord(c) + 1) & 0xFFFFFFFFFFFFFFFF
+        out.append(value)
+    return np.array(out, dtype=np.uint64)
+
+
+def _groups(texts: pd.Series) -> Iterator[list[str | None]]:
+    """Texts in runs of about TOGETHER characters."""
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text or "")
+        if size >= TOGETHER:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def load(path: str) -> PieceModel:
     """Compile a model file that the driver can read."""
     with open(path, "rb") as file:
@@ -264,12 +402,14 @@ def encoded(model: PieceModel, text: Column) -> Column:
         fallback[list(machine.bytes.values())] = True
         for texts in batches:
             rows = []
-            for text in texts:
-                if text is None:
-                    rows.append((None, None, None, None))
-                    continue
-                ids = machine.encode(text)
-                rows.append((len(ids), int(fallback[ids].sum()), machine.decode(ids) == text, ids))
+            for group in _groups(texts):
+                coded = iter(machine.encode_all([t for t in group if t is not None]))
+                for text in group:
+                    if text is None:
+                        rows.append((None, None, None, None))
+                        continue
+                    ids = next(coded)
+                    rows.append((len(ids), int(np.count_nonzero(fallback[ids])), machine.decode(ids) == text, ids))
             yield pd.DataFrame(rows, columns=["n_tokens", "n_byte_tokens", "round_trip", "ids"]).astype(
                 {"n_tokens": "Int64", "n_byte_tokens": "Int64", "round_trip": "boolean"})
 

@@ -32,9 +32,9 @@ from pyspark.sql import Column, SparkSession, functions as F
 
 BLANK = "▁"
 #: Chunks and pairs a task remembers before it starts afresh.
-REMEMBERED = 150_000
+REMEMBERED = 60_000
 #: Characters of texts encoded together.
-TOGETHER = 1 << 20
+TOGETHER = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Added to the worst score for a character without a piece, as the format has it.
 UNKNOWN_PENALTY = 10.0
@@ -131,14 +131,20 @@ class PieceModel:
         return self.histories[piece]
 
     def _allowed(self, left: str, right: str) -> bool:
+        """:meth:`_apart`, remembered."""
+        known = self.stable.get(left + "\n" + right)
+        if known is None:
+            if len(self.stable) >= REMEMBERED:
+                self.stable.clear()
+            known = self.stable[left + "\n" + right] = self._apart(left, right)
+        return known
+
+    def _apart(self, left: str, right: str) -> bool:
         """Whether two pieces stay apart while both are merged from characters.
 
         The merges inside either piece happen in its own order; the cheapest step at hand goes
         first, the leftmost of equals. The pair is refused if a merge across wins.
         """
-        known = self.stable.get(left + "\n" + right)
-        if known is not None:
-            return known
         mine, theirs = self._history(left)[1], self._history(right)[1]
         edge, head, a, b, apart = left[-1], right[0], 0, 0, True
         infinite = float("inf")
@@ -158,9 +164,6 @@ class PieceModel:
             else:
                 head = theirs[b][1]
                 b += 1
-        if len(self.stable) >= REMEMBERED:
-            self.stable.clear()
-        self.stable[left + "\n" + right] = apart
         return apart
 
     def _ends(self, chunk: str, start: int) -> list[int]:
@@ -235,7 +238,7 @@ class PieceModel:
         fresh = self.pairs[at] != keys if len(self.pairs) else np.ones(len(keys), dtype=bool)
         if fresh.any():
             new = keys[fresh]
-            judged = np.array([self._allowed(self.texts[k // size], self.texts[k % size]) for k in new.tolist()])
+            judged = np.array([self._apart(self.texts[k // size], self.texts[k % size]) for k in new.tolist()])
             if len(self.pairs) > 20 * REMEMBERED:
                 self.pairs, self.pair_allowed = np.empty(0, dtype=np.int64), np.empty(0, dtype=bool)
                 return self._may_follow(left, right)
@@ -400,16 +403,14 @@ def encoded(model: PieceModel, text: Column) -> Column:
         machine = shared.value
         fallback = np.zeros(len(machine.surface), dtype=bool)
         fallback[list(machine.bytes.values())] = True
-        for texts in batches:
-            rows = []
-            for group in _groups(texts):
-                coded = iter(machine.encode_all([t for t in group if t is not None]))
-                for text in group:
-                    if text is None:
-                        rows.append((None, None, None, None))
-                        continue
-                    ids = next(coded)
-                    rows.append((len(ids), int(np.count_nonzero(fallback[ids])), machine.decode(ids) == text, ids))
+        for group in (g for texts in batches for g in _groups(texts)):
+            rows, coded = [], iter(machine.encode_all([t for t in group if t is not None]))
+            for text in group:
+                if text is None:
+                    rows.append((None, None, None, None))
+                    continue
+                ids = next(coded)
+                rows.append((len(ids), int(np.count_nonzero(fallback[ids])), machine.decode(ids) == text, ids))
             yield pd.DataFrame(rows, columns=["n_tokens", "n_byte_tokens", "round_trip", "ids"]).astype(
                 {"n_tokens": "Int64", "n_byte_tokens": "Int64", "round_trip": "boolean"})
 

@@ -10,8 +10,10 @@ signatures are too far apart to link are dropped, the rest confirmed on the full
 nodes form components (alternating large-star and small-star), and a bucket whose members are in
 one component is done. The nodes of the other buckets meet anew in buckets of their rarest
 shingles, which loses no link and parts what only shares common text. There, up to ``HEADS``
-members outside the largest component are compared with the bucket in a round and then leave it,
-so that in the end every pair across components has been compared.
+members outside the largest component meet the bucket in a round and then leave it, so that in
+the end every pair across components has been judged. A pair goes no further if what follows the
+bucket's shingle in both sets is too little: similar sets pass in the bucket of their first
+common shingle.
 A pair with a similarity of 0.85 shares no band with a chance of (1 - 0.85**4)**24, about 2e-8.
 
 Defined results: null and empty texts, and texts of blanks, have the empty set and are linked with
@@ -40,7 +42,7 @@ LEAST_AGREEMENT = 0.6
 #: Orders by which buckets choose their first centre; a node meets a few centres, not one.
 CENTRES = 4
 #: Members outside a bucket's largest component that a round compares with the bucket.
-HEADS = 64
+HEADS = 512
 #: Most ids (of 8 bytes) sent to every task to pick out the texts of bucket members.
 BROADCAST_IDS = 1_000_000
 PIECE = 4096
@@ -157,7 +159,8 @@ def components(edges: DataFrame, temporary: list[str]) -> DataFrame:
 
 
 def _prefixes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``bucket, node``: the rarest shingles of each node, as many as similar sets cannot all lack.
+    """``bucket, node, n, ahead``: the rarest shingles of each node, as many as similar sets cannot
+    all lack, the size of the set and how much of it is left from this shingle on.
 
     Two sets that are similar enough share a shingle among the first ``n - ceil(percent * n / 100) + 1``
     of each, in any common order; rare ones first keeps the buckets small.
@@ -166,15 +169,16 @@ def _prefixes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     spread = held.groupBy("bucket").agg(F.count("*").alias("spread"))
     place = F.row_number().over(Window.partitionBy("node").orderBy("spread", "bucket"))
     first = F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1
-    return held.join(spread, "bucket").withColumn("place", place).where((F.col("place") <= first) & (F.col("spread") > 1)).select("bucket", "node")
+    placed = held.join(spread, "bucket").withColumn("place", place).where((F.col("place") <= first) & (F.col("spread") > 1))
+    return placed.select("bucket", "node", "n", (F.col("n") - F.col("place") + 1).alias("ahead"))
 
 
 def _open(members: DataFrame, parts: DataFrame, work: _Rounds) -> DataFrame:
     """Members of the buckets that hold several components, with the one that has most of them."""
-    placed = members.join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
-    shares = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+    placed = members.join(parts, "node", "left").select(*members.columns, F.coalesce("component", "node").alias("component"))
+    shares = placed.groupBy("bucket", "component").agg(F.count("*").alias("share"))
     most = shares.groupBy("bucket").agg(
-        F.max_by("component", F.struct("n", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
+        F.max_by("component", F.struct("share", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
     return work.settle(placed.join(most.select("bucket", "most"), "bucket"), "near-open")
 
 
@@ -200,11 +204,13 @@ def _links(members: DataFrame, work: _Rounds) -> DataFrame:
         chosen = Window.partitionBy("bucket").orderBy(F.xxhash64("node"), "node")
         heads = work.settle(
             still.where("component <> most").withColumn("place", F.row_number().over(chosen)).where(F.col("place") <= HEADS)
-            .select("bucket", F.col("node").alias("head"), F.col("component").alias("own")), "near-heads")
-        across = still.join(heads, (still["bucket"] == heads["bucket"]) & (F.col("component") != F.col("own"))).select(
+            .select("bucket", F.col("node").alias("head"), F.col("component").alias("own"), F.col("n").alias("own_n"), F.col("ahead").alias("own_ahead")),
+            "near-heads")
+        enough = F.least("ahead", "own_ahead") * (100 + work.percent) >= (F.col("n") + F.col("own_n")) * work.percent
+        across = still.join(heads, (still["bucket"] == heads["bucket"]) & (F.col("component") != F.col("own")) & enough).select(
             F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
         found.append(work.settle(work.confirm(across), "near-links"))
-        left = still.select("bucket", "node").join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti")
+        left = still.select("bucket", "node", "n", "ahead").join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti")
         parts = work.settle(components(_union(found), work.temporary), "near-components")
         still = _open(left, parts, work)
     return parts

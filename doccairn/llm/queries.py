@@ -55,6 +55,38 @@ SELECT doc_id, CAST(size AS BIGINT) AS size,
 FROM dealt, crc_table
 """
 
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+CONTAMINATION_SQL = rf"""
+WITH worded AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item_words AS (SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+               FROM benchmark WHERE item_id IS NOT NULL),
+item_starts AS (SELECT item, w, least(10, len(w)) AS size, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i FROM item_words WHERE len(w) > 0),
+item_windows AS (SELECT DISTINCT item, size, array_to_string(w[i:i + size - 1], ' ') AS piece FROM item_starts),
+sizes AS (SELECT DISTINCT size FROM item_windows),
+starts AS (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM worded, sizes WHERE len(w) >= size),
+windows AS (SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS piece FROM starts),
+hits AS (SELECT doc_id, i, size, item FROM windows JOIN item_windows USING (piece, size)),
+covered AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM worded LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+COPIES_SQL = rf"""
+WITH RECURSIVE worded AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+starts AS (SELECT doc_id, w, least(5, len(w)) AS size, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS i FROM worded WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + size - 1], ' ') AS shingle FROM starts),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y USING (shingle) WHERE x.doc_id < y.doc_id GROUP BY ALL),
+links AS (SELECT a, b FROM pairs JOIN sizes s ON s.doc_id = a JOIN sizes t ON t.doc_id = b WHERE 100 * common >= 85 * (s.n + t.n - common)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached AS (SELECT a AS doc_id, b AS other FROM edges UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON e.a = r.other),
+least_of AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_id)) AS component_id,
+       doc_id <= coalesce(other, doc_id) AS kept
+FROM worded LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of USING (doc_id)
+"""
+
 
 @query(SHARDS_SQL)
 def op1_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +102,7 @@ def op2_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
 
 
-@query()
+@query(CONTAMINATION_SQL)
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -78,7 +110,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
-@query()
+@query(COPIES_SQL)
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")

@@ -51,11 +51,15 @@ def test_neighbours_recall(spark):
 def test_decontamination(spark, documents):
     items = list(pd.read_parquet(f"{SMALL}/benchmark.parquet")[["item_id", "text"]].itertuples(index=False, name=None))
     columns = ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"]
-    assert rows(spark, "op3_decontaminate", columns) == sorted(brute.decontaminated(documents, items))
+    want = sorted(brute.decontaminated(documents, items))
+    assert rows(spark, "op3_decontaminate", columns) == want
+    assert sorted(duck(SMALL).execute(queries.CONTAMINATION_SQL).fetchall()) == want
 
 
 def test_near_duplicates(spark, documents):
-    assert rows(spark, "op4_minhash", ["doc_id", "n_shingles", "component_id", "kept"]) == sorted(brute.linked(documents))
+    want = sorted(brute.linked(documents))
+    assert rows(spark, "op4_minhash", ["doc_id", "n_shingles", "component_id", "kept"]) == want
+    assert sorted(duck(SMALL).execute(queries.COPIES_SQL).fetchall()) == want
 
 
 def test_large_bucket_of_near_copies(spark):

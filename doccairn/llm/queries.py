@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from doccairn.catalog.registry import Query, table
 from doccairn.llm import (
-    decontaminate, language_id, near_duplicates, neighbours, personal_data, pieces, quality_score, repeats, secret_scan, shards,
+    decontaminate, filter_audit, infill, language_id, near_duplicates, neighbours, personal_data, pieces, quality_rules, quality_score,
+    repeats, secret_scan, shards,
 )
 
 #: SentencePiece model of the encoding queries; another file may be named in the environment.
@@ -87,6 +88,57 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(other, doc_i
 FROM worded LEFT JOIN sizes USING (doc_id) LEFT JOIN least_of USING (doc_id)
 """
 
+BLANK_RUNS = r"[^\x20\x09-\x0D]+"
+INFILL_SQL = rf"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w,
+    list_transform([1, 9, 17, 25], lambda i: CAST('0x' || substr(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), i, 8) AS BIGINT)) AS h
+  FROM documents
+), ranked AS (
+  SELECT *, len(w) AS n, least(h[1] % (len(w) + 1), h[2] % (len(w) + 1)) AS a, greatest(h[1] % (len(w) + 1), h[2] % (len(w) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h[3] % 100 >= 50 THEN 'plain'
+         WHEN h[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), cut AS (
+  SELECT *, array_to_string(w[1:a], '') AS p, array_to_string(w[a + 1:b], '') AS m, array_to_string(w[b + 1:], '') AS s FROM ranked
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+  sha256(t) AS restored_sha256
+FROM cut
+"""
+AUDIT_SQL = rf"""
+WITH worded AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '{BLANK_RUNS}') AS w FROM documents
+), firsts AS (SELECT t, min(doc_id) AS first FROM worded GROUP BY t),
+marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+failed AS (
+  SELECT part, [len(w) < 200, 100 * len(list_distinct(w)) < 50 * len(w), 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 2 * length(t),
+    regexp_matches(t, '[#$%&*|]'), coalesce(doc_id > first, false)] AS f, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic
+  FROM worded JOIN firsts USING (t) LEFT JOIN marks USING (doc_id)
+), masks AS (
+  SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY part, f
+), letters AS (SELECT unnest(range(1, 6)) AS i),
+orders AS (
+  SELECT [a.i, b.i, c.i, d.i, e.i] AS o FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.i, b.i, c.i, d.i, e.i])) = 5
+), steps AS (SELECT o, array_to_string(list_transform(o, lambda i: substr('ABCDE', i, 1)), '') AS filter_order, unnest(range(1, 6)) AS step FROM orders),
+outcomes AS (
+  SELECT part, filter_order, step, o[step] AS letter, n, good, toxic, f[o[step]] AS fails,
+    len(list_filter(o[1:step - 1], lambda i: f[i])) > 0 AS gone, len(list_filter(f, lambda x: x)) = 1 AS one FROM masks, steps
+), counted AS (
+  SELECT part, filter_order, step, letter, coalesce(sum(n) FILTER (NOT gone AND NOT fails), 0) AS kept,
+    coalesce(sum(n) FILTER (NOT gone AND fails), 0) AS removed, coalesce(sum(n) FILTER (gone AND fails), 0) AS redundant,
+    coalesce(sum(n) FILTER (fails AND one), 0) AS unique_fails, coalesce(sum(good) FILTER (NOT gone AND fails), 0) AS good_lost,
+    coalesce(sum(toxic) FILTER (NOT gone AND fails), 0) AS toxic_lost
+  FROM outcomes GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counted
+"""
+
 
 @query(SHARDS_SQL)
 def op1_sampled_splitters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,3 +222,30 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = documents.select("doc_id", F.coalesce(remainder("doc_id", 5) == 0, F.lit(False)).alias("held_out"),
                               quality_score.quality(model, F.col("text")).alias("score"))
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+@query()
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(remainder("doc_id", 5) == 0, F.lit(True))
+    labels = table(spark, sf_dir, "labels").where(~held_out).select(F.col("doc_id").alias("id"), F.col("quality").alias("label"))
+    model = quality_rules.fit(documents.select(F.col("doc_id").alias("id"), "text"), labels)
+    return documents.select("doc_id", quality_rules.judged(model, F.col("text")).alias("judged")).select("doc_id", "judged.*")
+
+
+@query(INFILL_SQL)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = documents.select("doc_id", infill.infilled(F.col("text"), F.col("doc_id")).alias("made")).select("doc_id", "made.*")
+    text = infill.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(text.cast("binary"), 256).alias("restored_sha256"))
+
+
+@query(AUDIT_SQL)
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", F.col("source").alias("part"))
+    labels = table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("id"), (F.col("quality") == 1).alias("good"), (F.col("toxic") == 1).alias("toxic"))
+    return filter_audit.audit(filter_audit.mask_rows(documents, labels))

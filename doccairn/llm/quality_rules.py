@@ -26,6 +26,7 @@ from zlib import crc32
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from doccairn.llm.grams import code_points, hashed, pieces
@@ -41,6 +42,8 @@ DROP_BELOW, KEEP_FROM = 0.3, 0.7
 LEAST_WORDS, MOST_REPEATED = 50, 50
 FOLDS, RIDGE, STEPS = 2, 2e-5, 80
 SHARE_STEPS = 1 << 30
+#: Values of the sample multiplied at once.
+BLOCK = 1 << 18
 BLANKS, SYMBOLS = b" \t\n\x0b\x0c\r", b"#*$%&|<>"
 #: Stands for a word equal to the one before.
 AGAIN = np.uint32(0x5EC0FD)
@@ -127,20 +130,45 @@ def features(text: str, words: Words) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(buckets), np.concatenate(values)
 
 
-def regress(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps: int = STEPS) -> np.ndarray:
-    """Ridge-penalized logistic weights, the bias last, by accelerated gradient steps."""
-    lengths = np.array([len(b) + 1 for b, _ in rows])
-    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-    buckets = np.concatenate([np.append(b, WIDTH) for b, _ in rows])
-    values = np.concatenate([np.append(v, 1.0) for _, v in rows])
+class Sample:
+    """Rows of buckets and values end to end, walked in blocks of bounded size."""
+
+    def __init__(self, buckets: list[np.ndarray], values: list[np.ndarray], labels: np.ndarray):
+        lengths = np.array([len(b) + 1 for b in buckets], dtype=np.int64)
+        self.labels = (np.asarray(labels) == 1).astype(np.float64)
+        self.ends = np.cumsum(lengths)
+        self.buckets, self.values = np.full(lengths.sum(), WIDTH, dtype=np.int32), np.ones(lengths.sum(), dtype=np.float32)
+        for end, own, weights in zip(self.ends, buckets, values):
+            self.buckets[end - 1 - len(own) : end - 1] = own
+            self.values[end - 1 - len(own) : end - 1] = weights
+
+    def blocks(self) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+        """Rows, their buckets and values, and where each row begins among these."""
+        first, begin = 0, 0
+        while first < len(self.ends):
+            last = max(first + 1, int(np.searchsorted(self.ends, begin + BLOCK, side="right")))
+            end = int(self.ends[last - 1])
+            starts = np.concatenate([[0], self.ends[first : last - 1] - begin])
+            yield slice(first, last), self.buckets[begin:end], self.values[begin:end], starts
+            first, begin = last, end
+
+    def margins(self, weights: np.ndarray) -> np.ndarray:
+        parts = [np.add.reduceat(weights[b] * v, starts) for _, b, v, starts in self.blocks()]
+        return np.concatenate(parts) if parts else np.zeros(0)
+
+
+def regress(sample: Sample, used: np.ndarray, steps: int = STEPS) -> np.ndarray:
+    """Ridge-penalized logistic weights of the ``used`` rows, the bias last, by accelerated gradient steps."""
     weights = np.zeros(WIDTH + 1)
-    ahead, pace = weights, 1.0
+    ahead, pace, share = weights, 1.0, used / used.sum()
     # Rows have length sqrt(3) at most, which bounds the curvature.
     step = 1.0 / (0.25 * 3.0 + RIDGE)
     for _ in range(steps):
-        margins = np.add.reduceat(ahead[buckets] * values, starts)
-        errors = 1.0 / (1.0 + np.exp(-np.clip(margins, -35, 35))) - labels
-        slope = np.bincount(buckets, values * np.repeat(errors / len(rows), lengths), WIDTH + 1) + RIDGE * ahead
+        slope = RIDGE * ahead
+        for rows, buckets, values, starts in sample.blocks():
+            margins = np.add.reduceat(ahead[buckets] * values, starts)
+            errors = share[rows] * (1.0 / (1.0 + np.exp(-np.clip(margins, -35, 35))) - sample.labels[rows])
+            slope += np.bincount(buckets, values * np.repeat(errors, np.diff(starts, append=len(values))), WIDTH + 1)
         moved = ahead - step * slope
         quicker = (1.0 + np.sqrt(1.0 + 4.0 * pace * pace)) / 2.0
         ahead = moved + (pace - 1.0) / quicker * (moved - weights)
@@ -148,10 +176,6 @@ def regress(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, steps
     return weights
 
 
-def margin(weights: np.ndarray, row: tuple[np.ndarray, np.ndarray]) -> float:
-    return float(weights[row[0]] @ row[1] + weights[-1])
-
-
 def calibrate(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     """Slope and offset of a logistic curve through the margins, with smoothed targets."""
     ups = labels.sum()
@@ -165,22 +189,21 @@ def calibrate(margins: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
     return float(point[0]), float(point[1])
 
 
-def train(rows: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray) -> RuleModel:
-    labels = (np.asarray(labels) == 1).astype(np.float64)
+def train(sample: Sample) -> RuleModel:
+    labels = sample.labels
     share = (labels.sum() + 1.0) / (len(labels) + 2.0)
     if min(labels.sum(), (1 - labels).sum()) < FOLDS:
         return RuleModel(np.zeros(WIDTH + 1), 0.0, 0.0, float(np.log(share / (1 - share))), False)
     # Each label is dealt over the folds in turn, so that every fold's fit sees both.
-    fold = np.zeros(len(rows), dtype=np.int64)
+    fold = np.zeros(len(labels), dtype=np.int64)
     for label in (0.0, 1.0):
         own = np.flatnonzero(labels == label)
         fold[own] = np.arange(len(own)) % FOLDS
-    margins = np.zeros(len(rows))
+    margins = np.zeros(len(labels))
     for own in range(FOLDS):
-        weights = regress([r for r, f in zip(rows, fold) if f != own], labels[fold != own])
-        for i in np.flatnonzero(fold == own):
-            margins[i] = margin(weights, rows[i])
-    weights = regress(rows, labels)
+        unseen = fold == own
+        margins[unseen] = sample.margins(regress(sample, ~unseen))[unseen]
+    weights = regress(sample, np.ones(len(labels), dtype=bool))
     return RuleModel(weights, float(weights[-1]), *calibrate(margins, labels))
 
 
@@ -190,7 +213,10 @@ def judge(model: RuleModel, text: str | None) -> tuple:
     content = text.encode("utf-8", "surrogatepass")
     words = words_of(content)
     counts = base_counts(text, content, words)
-    raw = margin(model.weights, features(text, words)) if model.decides and text else model.bias
+    raw = model.bias
+    if model.decides and text:
+        buckets, values = features(text, words)
+        raw += float(model.weights[buckets] @ values)
     score = float(1 / (1 + np.exp(-np.clip(model.slope * raw + model.offset, -35, 35))))
     failed = base_failed(counts[0], counts[4])
     dropped = model.decides and score < DROP_BELOW
@@ -212,7 +238,7 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
         .orderBy(F.xxhash64("id"), "id", "label").limit(sample_rows)
     )
 
-    @F.pandas_udf("buckets array<int>, values array<double>")
+    @F.pandas_udf("buckets array<int>, values array<float>")
     def rows_of(texts: pd.Series) -> pd.DataFrame:
         found = [features(t or "", words_of((t or "").encode("utf-8", "surrogatepass"))) for t in texts]
         return pd.DataFrame({"buckets": [b for b, _ in found], "values": [v for _, v in found]})
@@ -220,10 +246,18 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     rows = (
         documents.select("id", "text").join(F.broadcast(chosen), "id")
         .select("id", "label", F.xxhash64("text").alias("key"), rows_of("text").alias("row"))
-        .orderBy(F.xxhash64("id"), "id", "label", "key").limit(sample_rows).collect()
+        .orderBy(F.xxhash64("id"), "id", "label", "key").limit(sample_rows)
+        .select("row.buckets", "row.values", "label").toArrow().to_batches()
     )
-    sample = [(np.asarray(r["row"]["buckets"], dtype=np.int64), np.asarray(r["row"]["values"])) for r in rows]
-    return train(sample, np.array([r["label"] for r in rows], dtype=np.float64))
+    return train(Sample(
+        [b for r in rows for b in lists(r.column("buckets"))], [v for r in rows for v in lists(r.column("values"))],
+        np.array([label for r in rows for label in r.column("label").to_pylist()])))
+
+
+def lists(column: pa.Array) -> list[np.ndarray]:
+    """The rows of a column of lists without nulls, as views."""
+    flat, ends = column.values.to_numpy(), column.offsets.to_numpy()
+    return [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
 
 
 def judged(model: RuleModel, text: Column) -> Column:

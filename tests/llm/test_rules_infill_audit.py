@@ -107,8 +107,9 @@ def test_regression_reaches_the_optimum():
         chance = 1 / (1 + np.exp(-dense @ exact))
         curve = dense.T @ (dense * (chance * (1 - chance))[:, None]) / 80 + quality_rules.RIDGE * np.eye(13)
         exact -= np.linalg.solve(curve, dense.T @ (chance - labels) / 80 + quality_rules.RIDGE * exact)
+    sample = quality_rules.Sample([b for b, _ in rows], [v for _, v in rows], labels)
     for steps, gap in ((quality_rules.STEPS, 1e-3), (1500, 1e-8)):
-        found = quality_rules.regress(rows, labels, steps)
+        found = quality_rules.regress(sample, np.ones(80, dtype=bool), steps)
         assert loss(found[[*range(12), -1]]) - loss(exact) < gap
 
 

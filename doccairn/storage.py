@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -48,6 +49,40 @@ def settle(df: DataFrame, name: str, written: list[str] | None = None) -> DataFr
     return spark.read.schema(df.schema).parquet(path)
 
 
+@dataclass(frozen=True)
+class Buckets:
+    """A written table dealt over buckets by one column; joins and groups by it need no shuffle."""
+
+    spark: SparkSession
+    name: str
+    path: str
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def forget(self) -> None:
+        """Remove the table's name; its files stay."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+    def discard(self) -> None:
+        self.forget()
+        discard(self.spark, [self.path])
+
+
+def settle_buckets(
+    df: DataFrame, name: str, column: str, buckets: int, folders: tuple[str, ...] = (), path: str | None = None
+) -> Buckets:
+    """Write ``df`` in ``buckets`` buckets by ``column``, within folders by the columns ``folders``.
+
+    Deal the rows over tasks by ``column`` first, or every task writes a file to every bucket.
+    """
+    spark = df.sparkSession
+    table = Buckets(spark, f"doccairn_{name.replace('-', '_')}_{uuid.uuid4().hex}", path or new_path(spark, name))
+    writer = df.write.bucketBy(buckets, column).option("path", table.path)
+    (writer.partitionBy(*folders) if folders else writer).saveAsTable(table.name)
+    return table
+
+
 def discard(spark: SparkSession, paths: list[str]) -> None:
     """Remove tables written under :func:`new_path` and empty the list."""
     for path in paths:

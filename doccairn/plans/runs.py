@@ -116,7 +116,7 @@ def bin_words(word_vectors: DataFrame, n_bins: int, restarts: int = clustering.R
     """Cluster ``word, vector`` rows into ``word, bin``."""
     features = clustering.with_features(l2_normalize(word_vectors)).persist()
     model = clustering.fit_kmeans(features, n_bins, restarts)
-    binned = settle(model.transform(features).select("word", F.col("cluster").alias("bin")), "word-bins")
+    binned = settle(clustering.placed(features, model).select("word", F.col("cluster").alias("bin")), "word-bins")
     features.unpersist()
     return binned
 

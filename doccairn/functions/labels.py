@@ -65,11 +65,11 @@ def shown(value: Column) -> Column:
 def config_tag(method_key: Column, config: Column) -> Column:
     """Chart title suffix with the parameters of a configuration."""
     paragraph = F.format_string(
-        "%s (dim=%s, mc=%s, ep=%s, dm=%s)", config["name"], shown(config["vector_size"]),
+        "%s (dim=%s, mc=%s, ep=%s, dm=%s)", shown(config["name"]), shown(config["vector_size"]),
         shown(config["min_count"]), shown(config["epochs"]), shown(config["dm"]),
     )
     bins = F.format_string(
-        "%s (bins=%s, w2v_dim=%s, w2v_mc=%s)", config["name"], shown(config["n_bins"]),
+        "%s (bins=%s, w2v_dim=%s, w2v_mc=%s)", shown(config["name"]), shown(config["n_bins"]),
         shown(config["w2v_vector_size"]), shown(config["w2v_min_count"]),
     )
     return F.when(method_key == PARAGRAPH_METHOD, paragraph).otherwise(bins)

@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.ml.feature import PCA
 from pyspark.ml.linalg import DenseVector
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from doccairn.functions.labels import METRICS, config_label, first_words
 from doccairn.functions.vectors import as_array, as_features
 
 
+def titled(series: DataFrame, heading: str, tag: Column) -> DataFrame:
+    """A chart's data with its ``title``: the heading and the configuration's tag."""
+    return series.withColumn("title", F.concat(F.lit(f"{heading} — "), tag))
+
+
 def elbow_series(search: DataFrame, best_k: int) -> DataFrame:
     """``k, inertia, silhouette``; an undefined silhouette is drawn at 0."""
     return search.select(
@@ -85,7 +90,7 @@ def principal_components(vectors: DataFrame) -> tuple[DataFrame, list[float]]:
 
 
 def cluster_map(vectors: DataFrame, legend: DataFrame) -> tuple[DataFrame, list[float]]:
-    """``id, cluster, pc1, pc2, legend`` for a scatter plot. ``legend`` has one row per cluster."""
+    """``id, cluster, pc1, pc2, legend`` for a scatter plot. ``legend`` has one row per cluster, of any number."""
     placed, variance = principal_components(vectors)
     points = placed.select("id", "cluster", "pc1", "pc2")
-    return points.join(F.broadcast(legend), "cluster", "left"), variance
+    return points.join(legend, "cluster", "left"), variance

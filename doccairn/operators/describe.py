@@ -7,6 +7,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from doccairn.functions.text import default_stop_words
 from doccairn.operators.corpus import drop_stop_words, keyword_rows
 
+# Groups that the record of a cluster may hold.
+MOST_GROUPS = 10_000
+
 
 def top_rows(df: DataFrame, group: str, order: list[Column], n: int, rank: str = "rank") -> DataFrame:
     """First ``n`` rows of every group.
@@ -85,20 +88,33 @@ def nearest_to_centroid(scored: DataFrame, n: int = 10) -> DataFrame:
 def representative_posts(nearest: DataFrame, posts: DataFrame) -> DataFrame:
     """Fields of the nearest posts.
 
-    ``nearest`` holds at most n rows per cluster of a fitted model, so it goes to the posts.
+    ``nearest`` holds a few rows per cluster, but there may be many clusters: whether it goes to
+    the posts or both are shuffled is decided by its size at run time.
     """
     fields = posts.select("id", "reddit_id", "subreddit", "title", "selftext")
-    return fields.join(F.broadcast(nearest), "id")
+    return fields.join(nearest, "id")
+
+
+def split_groups(distribution: DataFrame, most: int, cluster: str = "cluster", group: str = "subreddit") -> tuple[DataFrame, DataFrame]:
+    """The ``most`` largest groups of each cluster, and all others.
+
+    The first part is cut to ``most`` rows per cluster in every partition before its shuffle; the
+    second is what a join on cluster and group leaves over, so no task holds the groups of a cluster.
+    """
+    first = top_groups(distribution, most, cluster, group).drop("rank")
+    return first, distribution.join(first, [cluster, group], "left_anti")
 
 
 def cluster_summaries(
-    complete: DataFrame, keywords: DataFrame, distribution: DataFrame, representatives: DataFrame
+    complete: DataFrame, keywords: DataFrame, distribution: DataFrame, representatives: DataFrame,
+    most_groups: int = MOST_GROUPS,
 ) -> DataFrame:
     """Nested record per cluster, as a result document has it.
 
-    Keywords and posts are cut to a few rows per cluster; groups are all there, one entry
-    per group name. Where there may be very many, keep :func:`group_distribution` as a table.
+    Keywords and posts are cut to a few rows per cluster. Groups are all there up to
+    ``most_groups`` per cluster; the rest of a cluster with more is :func:`other_groups`.
     """
+    distribution, _ = split_groups(distribution, most_groups)
     words = keywords.groupBy("cluster").agg(
         F.array_sort(F.collect_list(F.struct("rank", "word", "count"))).alias("words")
     )
@@ -123,6 +139,11 @@ def cluster_summaries(
     )
 
 
+def other_groups(distribution: DataFrame, most_groups: int = MOST_GROUPS) -> DataFrame:
+    """``cluster, subreddit, count`` of the groups that :func:`cluster_summaries` has no room for."""
+    return split_groups(distribution, most_groups)[1].select("cluster", "subreddit", "count")
+
+
 def summary_list(summaries: DataFrame) -> DataFrame:
     """All cluster records in one row, by cluster."""
     record = F.struct(*summaries.columns)

@@ -12,13 +12,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, functions as F
 
-from doccairn.functions.vectors import mean_vector, squared_distance, total
-from doccairn.storage import settle
+from doccairn.functions.vectors import as_features, mean_vector, squared_distance, total
+from doccairn.storage import discard, settle
 
 # Centroids sent to the tasks at once; more are taken in several passes.
 CENTROIDS_PER_PASS = 1024
+# Clusters whose centroids may stand in one row; more are compared block by block.
+CLUSTERS_IN_A_ROW = 64
+# Distances held at once in a task.
+CELLS = 1 << 21
 
 
 def centroids(vectors: DataFrame) -> DataFrame:
@@ -41,11 +46,12 @@ class Centroids:
         self.sizes = np.array([row["size"] for row in rows], dtype=np.int64)
         self.values = np.array([row["centroid"] for row in rows], dtype=np.float64)
         self.norms = np.linalg.norm(self.values, axis=1)
+        self.spreads = np.array([row["spread"] if "spread" in row else 0.0 for row in rows], dtype=np.float64)
 
     @staticmethod
-    def passes(table: DataFrame, per_pass: int = CENTROIDS_PER_PASS) -> Iterator[Centroids]:
+    def passes(table: DataFrame, per_pass: int = CENTROIDS_PER_PASS, *more: str) -> Iterator[Centroids]:
         """Bring ``cluster, size, centroid`` rows to the driver, about ``per_pass`` at a time."""
-        table = table.select("cluster", "size", "centroid")
+        table = table.select("cluster", "size", "centroid", *more)
         rows = table.limit(per_pass + 1).collect()
         if len(rows) <= per_pass:
             if rows:
@@ -99,6 +105,29 @@ class Centroids:
 
         return closest(vector)
 
+    def worst_ratio(self, cluster: Column, spread: Column, centroid: Column) -> Column:
+        """Largest sum of spreads over the distance to another of these centroids; 0 for one that coincides."""
+
+        @F.arrow_udf("double")
+        def worst(labels: pa.Array, spreads: pa.Array, centres: pa.Array) -> pa.Array:
+            own, width, rows = labels.to_numpy(), spreads.to_numpy(), matrix(centres)
+            found = np.zeros(len(rows))
+            step = max(64, CELLS // len(self.values))
+            for begin in range(0, len(rows), step):
+                part = slice(begin, begin + step)
+                scale = np.square(rows[part]).sum(axis=1)[:, None] + np.square(self.norms)
+                squared = scale - 2.0 * (rows[part] @ self.values.T)
+                # Where two nearly coincide the difference of large numbers says nothing.
+                near, by = np.nonzero(squared < 1e-6 * scale)
+                squared[near, by] = np.square(rows[part][near] - self.values[by]).sum(axis=1)
+                squared[own[part][:, None] == self.clusters] = 0.0
+                apart = np.sqrt(np.maximum(squared, 0.0))
+                sums = width[part][:, None] + self.spreads
+                found[part] = np.divide(sums, apart, out=np.zeros_like(apart), where=apart > 0).max(axis=1)
+            return pa.array(found)
+
+        return worst(cluster, spread, centroid)
+
 
 def score_rows(vectors: DataFrame) -> DataFrame:
     """Add ``silhouette``, ``cosine_distance`` and ``squared_distance`` to every row.
@@ -211,9 +240,42 @@ def calinski_harabasz(members: Column, rows: Column, within: Column) -> Column:
     return F.when(k > 1, index)
 
 
-def quality(stats: DataFrame, k: int) -> DataFrame:
-    """One row with all measures of a clustering into ``k``; ``stats`` has at most k rows."""
+def blocked_measures(stats: DataFrame, per_pass: int = CENTROIDS_PER_PASS) -> tuple[float | None, float | None]:
+    """Davies-Bouldin and Calinski-Harabasz of any number of clusters, for their rows in ``stats``.
+
+    Every pass compares all centroids with a block of them, so no row and no task holds them all,
+    and only a block and single sums come to the driver.
+    """
+    written: list[str] = []
+    spark = stats.sparkSession
+    members = settle(stats.where("size > 0").select("cluster", "size", "spread", "within", "centroid"), "members", written)
+    worst = members.withColumn("worst", F.lit(0.0))
+    for part in Centroids.passes(members, per_pass, "spread"):
+        ratio = part.worst_ratio(F.col("cluster"), F.col("spread"), F.col("centroid"))
+        worst = settle(worst.withColumn("worst", F.greatest("worst", ratio)), "worst-ratios", written)
+    found = worst.agg(
+        F.count("*").alias("k"), F.sum("size").alias("rows"), F.sum("within").alias("within"), F.avg("worst").alias("worst"),
+        Summarizer.mean(as_features(F.col("centroid")), F.col("size").cast("double")).alias("middle"),
+    ).first()
+    if found["k"] < 2:
+        discard(spark, written)
+        return None, None
+    middle = F.lit([float(x) for x in found["middle"]])
+    between = members.agg(F.sum(F.col("size") * squared_distance(F.col("centroid"), middle))).first()[0]
+    discard(spark, written)
+    if found["within"] == 0:
+        return found["worst"], 1.0
+    return found["worst"], (between / (found["k"] - 1)) / (found["within"] / (found["rows"] - found["k"]))
+
+
+def quality(stats: DataFrame, k: int, in_a_row: int = CLUSTERS_IN_A_ROW) -> DataFrame:
+    """One row with all measures of a clustering into ``k``; ``stats`` has at most k rows.
+
+    Up to ``in_a_row`` clusters are compared within that row; more go through
+    :func:`blocked_measures`, and the row holds numbers alone. ``stats`` should then be stored.
+    """
     complete = complete_range(stats, k)
+    blocked = k > in_a_row
     present = F.col("size") > 0
     label = F.col("cluster").cast("string")
 
@@ -228,15 +290,19 @@ def quality(stats: DataFrame, k: int) -> DataFrame:
         F.stddev_pop("size").alias("cluster_size_std"),
         keyed("silhouette").alias("per_cluster_silhouette"),
         keyed("size").alias("cluster_sizes"),
-        F.collect_list(F.when(present, F.struct("size", "spread", "centroid"))).alias("members"),
+        F.count_if(present).alias("clusters"),
+        *([] if blocked else [F.collect_list(F.when(present, F.struct("size", "spread", "centroid"))).alias("members")]),
     )
     members, rows = F.col("members"), F.col("rows")
-    several = F.size(members) > 1
+    if blocked:
+        bouldin, calinski = (F.lit(value).cast("double") for value in blocked_measures(stats))
+    else:
+        bouldin, calinski = davies_bouldin(members), calinski_harabasz(members, rows, F.col("within"))
     return gathered.select(
-        F.when(several, F.col("silhouette_sum") / rows).alias("cosine_silhouette"),
+        F.when(F.col("clusters") > 1, F.col("silhouette_sum") / rows).alias("cosine_silhouette"),
         "per_cluster_silhouette",
-        davies_bouldin(members).alias("davies_bouldin"),
-        calinski_harabasz(members, rows, F.col("within")).alias("calinski_harabasz"),
+        bouldin.alias("davies_bouldin"),
+        calinski.alias("calinski_harabasz"),
         "cluster_size_std",
         "cluster_sizes",
         F.col("within").alias("inertia"),

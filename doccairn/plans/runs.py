@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from doccairn.functions.labels import PARAGRAPH_METHOD, WORD_BIN_METHOD
+from doccairn.functions.labels import PARAGRAPH_METHOD, WORD_BIN_METHOD, config_tag
 from doccairn.functions.vectors import l2_normalize
 from doccairn.operators import charts, clustering, describe, quality, word_bins
 from doccairn.operators.embedding import Training, train
@@ -35,14 +35,18 @@ class Run:
     stats: DataFrame
     keywords: DataFrame
     search: DataFrame | None
+    #: ``cluster, subreddit, count`` of the groups that the summaries have no room for.
+    other_groups: DataFrame
 
     def charts(self) -> dict[str, DataFrame]:
         complete = quality.complete_range(self.stats, self.k)
         points, _ = charts.cluster_map(self.labelled, charts.legends(self.keywords, complete))
+        tag = self.result.select(config_tag(F.col("method"), F.col("config"))).scalar()
         drawn = {
-            "cluster_map": points,
-            "cluster_sizes": charts.cluster_size_series(complete.select("cluster", "size"), self.keywords),
-            "silhouettes": charts.silhouette_series(complete),
+            "cluster_map": charts.titled(points, "2-D PCA Projection", tag),
+            "cluster_sizes": charts.titled(
+                charts.cluster_size_series(complete.select("cluster", "size"), self.keywords), "Cluster Sizes", tag),
+            "silhouettes": charts.titled(charts.silhouette_series(complete), "Per-Cluster Silhouette", tag),
         }
         if self.search is not None:
             drawn["elbow"] = charts.elbow_series(self.search, self.k)
@@ -84,9 +88,10 @@ def cluster_and_describe(
     keywords = settle(describe.top_keywords(
         posts.select("id", "cleaned_title", "cleaned_selftext").join(labels, "id"), stop=stop
     ), "keywords")
+    groups = settle(describe.group_distribution(posts.select("id", "subreddit").join(labels, "id")), "groups")
     summaries = describe.cluster_summaries(
         quality.complete_range(stats, k), keywords,
-        describe.group_distribution(posts.select("id", "subreddit").join(labels, "id")),
+        groups,
         describe.representative_posts(describe.nearest_to_centroid(scored), posts),
     )
     measures = quality.quality(stats, k)
@@ -96,7 +101,7 @@ def cluster_and_describe(
         F.struct(*names).cast(METRICS_TYPE).alias("metrics"), search_record(search).alias("k_search"),
         describe.summary_list(summaries).scalar().alias("cluster_summaries"),
     ), "result")
-    return Run(result, k, labelled, stats, keywords, search)
+    return Run(result, k, labelled, stats, keywords, search, describe.other_groups(groups))
 
 
 def run_paragraph_vectors(

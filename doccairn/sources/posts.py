@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession, functions as F
+from decimal import Decimal
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # The columns of a posts table, and those whose nulls become "".
 POST_COLUMNS = (
@@ -48,27 +50,48 @@ def read_posts(spark: SparkSession, path: str) -> DataFrame:
     return clean_posts(spread(spark.read.parquet(path)))
 
 
-def read_posts_jdbc(
-    spark: SparkSession,
-    url: str,
-    table: str = "posts",
-    partitions: int = 16,
-    bounds: tuple[int, int] | None = None,
-    **options: str,
-) -> DataFrame:
-    """Posts from a database, read in ``partitions`` ranges of ``id``.
+def literal(value: object) -> str:
+    """An id as it is written in a database's SQL."""
+    if isinstance(value, (int, float, Decimal)) and not isinstance(value, bool):
+        return str(value)
+    return "'" + str(value).replace("'", "''") + "'"
 
-    Without ``bounds`` the smallest and largest id are asked from the database.
-    """
 
-    def reader() -> DataFrameReader:  # options stay on a reader, so every load has its own
-        return spark.read.format("jdbc").options(url=url, **options)
+def cut_query(source: str, partitions: int) -> str:
+    """SQL for the first id of each of ``partitions`` ranges with about as many rows.
 
-    if bounds is None:
-        low, high = reader().option("query", f"SELECT MIN(id) AS low, MAX(id) AS high FROM {table}").load().first()
-        bounds = (int(low or 0), int(high or 0))
-    ranged = reader().options(
-        dbtable=table, partitionColumn="id", lowerBound=bounds[0],
-        upperBound=max(bounds[1], bounds[0] + 1), numPartitions=partitions,
+    ``source`` is the table, or a sample of it as the database writes one. The database orders the
+    ids itself, so ids may be numbers or text, and gaps and crowded stretches do not matter.
+    """
+    return (
+        f"SELECT part, MIN(id) AS cut FROM (SELECT id, NTILE({partitions}) OVER (ORDER BY id) AS part "
+        f"FROM {source} WHERE id IS NOT NULL) parts GROUP BY part"
     )
-    return clean_posts(ranged.load())
+
+
+def id_predicates(cuts: list) -> list[str]:
+    """One condition per range between rising ``cuts``, and one for rows without an id.
+
+    Every row meets exactly one. Ranges are open at both ends, so rows outside what a sample saw
+    are read too; numbers and texts are compared by the database, as it ordered them.
+    """
+    edges = [literal(cut) for cut in dict.fromkeys(cuts)]
+    if not edges:
+        return ["id IS NOT NULL", "id IS NULL"]
+    inner = [f"id >= {low} AND id < {high}" for low, high in zip(edges, edges[1:])]
+    return [f"id < {edges[0]}", *inner, f"id >= {edges[-1]}", "id IS NULL"]
+
+
+def read_posts_jdbc(
+    spark: SparkSession, url: str, table: str = "posts", partitions: int = 16,
+    cuts: list | None = None, sample: str | None = None, **options: str,
+) -> DataFrame:
+    """Posts from a database, read in about ``partitions`` ranges of ``id`` with as many rows each.
+
+    Without ``cuts`` the database is asked for the ids that part ``table``, or ``sample``, evenly.
+    Rows without an id are a part of their own; ids that are no numbers become null as elsewhere.
+    """
+    if cuts is None:
+        asked = spark.read.format("jdbc").options(url=url, query=cut_query(sample or table, partitions), **options).load()
+        cuts = [row["cut"] for row in sorted(asked.collect(), key=lambda row: row["part"])][1:]
+    return clean_posts(spark.read.jdbc(url, table, predicates=id_predicates(cuts), properties=dict(options)))

@@ -136,13 +136,45 @@ def test_no_best_result_leaves_the_recommendation_empty(spark, both_sweeps):
     assert combined["recommended_configuration"] is None and len(combined["results"]) == 2
 
 
-@pytest.mark.parametrize("bounds", [None, (1, 10)])
-def test_posts_from_jdbc_plan_ranges(spark, bounds):
+@pytest.mark.parametrize("cuts", [None, [3, 7]])
+def test_posts_from_jdbc_plan_ranges(spark, cuts):
     """The reader's options without a database: a missing driver is all that may fail."""
     from doccairn.sources.posts import read_posts_jdbc
-    with pytest.raises(Exception, match="(?i)driver") as caught:
-        read_posts_jdbc(spark, "jdbc:nosuchdb://host/db", bounds=bounds)
-    assert "both" not in str(caught.value).lower()
+    with pytest.raises(Exception, match="(?i)driver"):
+        read_posts_jdbc(spark, "jdbc:nosuchdb://host/db", cuts=cuts)
+
+
+IDS = {
+    "numbers with gaps": [*range(50), *range(10**9, 10**9 + 50), None, None, -5],
+    "texts": [*map(str, range(60)), "x'y", "é", "", "A", "a", None],
+    "one id": [7] * 40, "nothing": [], "only nulls": [None] * 5,
+}
+
+
+@pytest.mark.parametrize("kind", IDS)
+def test_every_row_meets_one_predicate(spark, kind):
+    """Ranges of the cuts that a SQL engine gives, in that engine and in Spark."""
+    import duckdb
+
+    from doccairn.sources.posts import cut_query, id_predicates
+    text = kind == "texts"
+    connection = duckdb.connect()
+    connection.execute(f"CREATE TABLE posts (id {'VARCHAR' if text else 'BIGINT'}, n INTEGER)")
+    for n, value in enumerate(IDS[kind]):
+        connection.execute("INSERT INTO posts VALUES (?, ?)", [value, n])
+    cuts = [cut for _, cut in sorted(connection.execute(cut_query("posts", 8)).fetchall())][1:]
+    predicates = id_predicates(cuts)
+    parts = [connection.execute(f"SELECT n FROM posts WHERE {p}").fetchall() for p in predicates]
+    assert sorted(n for part in parts for (n,) in part) == list(range(len(IDS[kind])))
+    rows = spark.createDataFrame([(v, n) for n, v in enumerate(IDS[kind])], f"id {'string' if text else 'long'}, n int")
+    assert sorted(r["n"] for p in predicates for r in rows.where(p).collect()) == list(range(len(IDS[kind])))
+    if kind == "numbers with gaps":
+        assert len(predicates) == 9 and max(map(len, parts[:-1])) <= 14
+
+
+def test_ids_that_are_no_numbers_become_null(spark):
+    raw = spark.createDataFrame([("7",), ("x",), (None,)], "id string").select(F.col("id"), *[F.lit(None).cast("string").alias(n) for n in ("reddit_id", "subreddit", "cleaned_title", "cleaned_selftext", "keywords", "title", "selftext")])
+    assert sorted(str(r["id"]) for r in clean_posts(raw).collect()) == ["7", "None", "None"]
 
 
 def test_results_of_one_name_stay_apart(spark, both_sweeps, tmp_path):

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from doccairn.functions.vectors import l2_normalize
-from doccairn.operators import charts, clustering, quality
+from doccairn.operators import charts, clustering, describe, quality
 
 
 def frame(spark, values, labels):
@@ -132,3 +132,53 @@ def test_choice_of_k_prefers_the_first_and_skips_nulls(spark):
     assert clustering.select_best_k(table.where("k = 2"), 2) == 2
     series = {r["k"]: (r["silhouette"], r["is_best"]) for r in charts.elbow_series(table, 3).collect()}
     assert series == {2: (0.0, False), 3: (0.5, True), 4: (0.5, False), 5: (0.0, False)}
+
+
+def test_many_clusters_are_compared_in_blocks(spark):
+    """50,000 clusters: equal to the definitions, and no row holds their centroids."""
+    rng = np.random.default_rng(8)
+    k, d = 50_000, 4
+    centres, sizes, spreads = rng.normal(size=(k, d)), rng.integers(1, 9, k), rng.random(k) / 50
+    centres[1] = centres[0]
+    schema = "cluster int, size long, silhouette double, silhouette_sum double, spread double, within double, centroid array<double>"
+    rows = [(i, int(n), 0.5, 0.5 * int(n), float(s), float(n * s * s), c.tolist()) for i, (n, s, c) in enumerate(zip(sizes, spreads, centres))]
+    stats = spark.createDataFrame(rows, schema).repartition(8)
+    worst = []
+    for begin in range(0, k, 1000):
+        part = slice(begin, begin + 1000)
+        apart = np.sqrt(np.maximum(sum(np.square(centres[part, i][:, None] - centres[:, i]) for i in range(d)), 0))
+        ratio = np.divide(spreads[part][:, None] + spreads, apart, out=np.zeros_like(apart), where=apart > 0)
+        worst.append(ratio.max(axis=1))
+    middle = (centres * sizes[:, None]).sum(axis=0) / sizes.sum()
+    between = (sizes * np.square(centres - middle).sum(axis=1)).sum()
+    within = (sizes * spreads**2).sum()
+    bouldin, calinski = quality.blocked_measures(stats, 8192)
+    assert bouldin == pytest.approx(np.concatenate(worst).mean(), rel=1e-6)
+    assert calinski == pytest.approx((between / (k - 1)) / (within / (sizes.sum() - k)), rel=1e-9)
+
+
+def test_blocked_measures_equal_those_in_a_row(spark):
+    x, labels = sample(200, 6, 12)
+    stats = quality.cluster_stats(quality.score_rows(frame(spark, x, labels)))
+    row, blocked = quality.quality(stats, 14).first(), quality.quality(stats, 14, in_a_row=3).first()
+    for name in row.asDict():
+        assert blocked[name] == (pytest.approx(row[name]) if isinstance(row[name], float) else row[name])
+    one = quality.cluster_stats(quality.score_rows(frame(spark, x, [0] * len(x))))
+    assert quality.quality(one, 1, in_a_row=0).first()["davies_bouldin"] is None
+
+
+def test_summaries_of_a_cluster_with_a_million_groups(spark):
+    """What the record has no room for is in the table beside it; together they are all groups."""
+    names = 1_000_000
+    groups = spark.range(names).select(F.lit(0).alias("cluster"), F.concat(F.lit("g"), "id").alias("subreddit"), (1 + F.col("id") % 1000).alias("count"))
+    groups = groups.unionByName(spark.createDataFrame([(1, "a", 2), (1, "b", 5)], groups.schema))
+    complete = spark.createDataFrame([(0, 10, 0.1), (1, 7, None), (2, 0, 0.0)], "cluster int, size long, silhouette double")
+    words = spark.createDataFrame([(0, 1, "w", 3)], "cluster int, rank int, word string, count long")
+    posts = spark.createDataFrame([(0, 1, "r", "s", "t", "u")], "cluster int, rank int, reddit_id string, subreddit string, title string, selftext string")
+    found = {r["cluster_id"]: r for r in describe.cluster_summaries(complete, words, groups, posts, 100).collect()}
+    assert {c: len(r["subreddit_distribution"]) for c, r in found.items()} == {0: 100, 1: 2, 2: 0}
+    assert set(found[0]["subreddit_distribution"].values()) == {1000} and found[1]["subreddit_distribution"] == {"a": 2, "b": 5}
+    others = describe.other_groups(groups, 100)
+    assert others.count() == names - 100 and others.where("cluster <> 0").count() == 0
+    total = others.agg(F.sum("count")).first()[0] + sum(found[0]["subreddit_distribution"].values())
+    assert total == groups.where("cluster = 0").agg(F.sum("count")).first()[0]

@@ -31,6 +31,10 @@ WORD_BIN_CONFIGS = [
     {"name": None, "n_bins": 200, "w2v_vector_size": 150, "w2v_min_count": 2, "bins": 200},
 ]
 CONFIG_FIELDS = ("name", "vector_size", "min_count", "epochs", "dm", "n_bins", "w2v_vector_size", "w2v_min_count")
+RESULT_FIELDS = (
+    f"config:{result_files.CONFIG_TYPE},k:int,metrics:{result_files.METRICS_TYPE},"
+    f"k_search:{result_files.SEARCH_TYPE},cluster_summaries:array<{result_files.SUMMARY_TYPE}>"
+)
 RUNS = [(PARAGRAPH_METHOD, 10, c) for c in PARAGRAPH_CONFIGS] + [(WORD_BIN_METHOD, 5, c) for c in WORD_BIN_CONFIGS]
 
 
@@ -313,6 +317,64 @@ def theme_summary_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compare.theme_report(texts, (PARAGRAPH_METHOD, WORD_BIN_METHOD))
 
 
+@query(f"""WITH {FLAT_SQL} SELECT b.method_key AS method, r.name AS recommended_configuration, x.name AS config_name, CAST(x.modulo AS INTEGER) AS k,
+  f.cosine_silhouette, true AS complete
+FROM best b JOIN runs r USING (run) JOIN runs x ON x.method_key = b.method_key JOIN flat f ON f.run = x.run""")
+def combined_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each method's combined document, written as JSON and read back."""
+    read = []
+    for method in (PARAGRAPH_METHOD, WORD_BIN_METHOD):
+        folder = new_path(spark, "combined")
+        measured = measured_results(spark, sf_dir, method).withColumns({
+            "k_search": F.lit(None).cast(result_files.SEARCH_TYPE),
+            "cluster_summaries": F.lit(None).cast(f"array<{result_files.SUMMARY_TYPE}>"),
+        })
+        combined = result_files.combine_results(measured, compare.best_by_silhouette(measured))
+        combined.write.option("ignoreNullFields", False).json(folder)
+        back = spark.read.schema(f"recommended_configuration string, results array<struct<{RESULT_FIELDS}>>").json(folder)
+        read.append(back.select(F.lit(method).alias("method"), "recommended_configuration", F.explode("results").alias("one")))
+    return functools.reduce(DataFrame.unionByName, read).select(
+        "method", "recommended_configuration", F.col("one.config.name").alias("config_name"), "one.k",
+        "one.metrics.cosine_silhouette", (F.col("one.config").isNotNull() & F.col("one.metrics").isNotNull()).alias("complete"))
+
+
+@query(f"""WITH {DESCRIBED_SQL},
+sils AS (SELECT run, cluster, avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END) AS s FROM ab GROUP BY ALL),
+listed AS (SELECT s.method_key, s.cluster, s.size, b.run, sils.s FROM shown s JOIN best b USING (method_key) JOIN sils ON sils.run = b.run AND sils.cluster = s.cluster),
+lines AS (
+  SELECT method || ' qualitative cluster summary' AS line FROM best
+  UNION ALL SELECT 'Best config: ' || coalesce(name, 'None') || ' | k=' || best.k FROM best JOIN runs USING (run)
+  UNION ALL SELECT repeat('-', 60) FROM best
+  UNION ALL SELECT 'Cluster ' || cluster || ' | size=' || size || ' | mean silhouette=' || printf('%.4f', s) FROM listed
+  UNION ALL SELECT '  Keywords: ' || coalesce(string_agg(text, ', ' ORDER BY rank), '') FROM listed
+    LEFT JOIN (SELECT * FROM heads WHERE kind = 'keyword') USING (method_key, cluster) GROUP BY method_key, cluster
+  UNION ALL SELECT '  Top subreddits: ' || coalesce(string_agg(text, ', ' ORDER BY rank), '') FROM listed
+    LEFT JOIN (SELECT * FROM heads WHERE kind = 'group') USING (method_key, cluster) GROUP BY method_key, cluster
+  UNION ALL SELECT '  Representative posts:' FROM listed
+  UNION ALL SELECT '    ' || rank || '. ' || text FROM heads JOIN listed USING (method_key, cluster) WHERE kind = 'post'
+  UNION ALL SELECT '' FROM listed
+  UNION ALL SELECT unnest(['', repeat('=', 72), '']))
+SELECT line, count(*) AS times FROM lines GROUP BY line""")
+def report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The text report, written and read back line by line."""
+    texts = compare.theme_text(compare.theme_lists(best_described(spark, sf_dir)))
+    folder = new_path(spark, "report")
+    result_files.write_text(compare.theme_report(texts, (PARAGRAPH_METHOD, WORD_BIN_METHOD)), folder)
+    return spark.read.text(folder).groupBy(F.col("value").alias("line")).agg(F.count("*").alias("times"))
+
+
+@query(f"""WITH {FLAT_SQL} SELECT json_path, 'Cluster Sizes — ' || coalesce(name, 'None') ||
+  CASE WHEN r.method_key = 'doc2vec'
+    THEN ' (dim=' || vector_size || ', mc=' || r.min_count || ', ep=' || r.epochs || ', dm=' || coalesce(CAST(dm AS VARCHAR), 'None') || ')'
+    ELSE ' (bins=' || n_bins || ', w2v_dim=' || w2v_vector_size || ', w2v_mc=' || w2v_min_count || ')' END AS title
+FROM runs r JOIN (SELECT run FROM sil) USING (run)""")
+def chart_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chart titles with the parameters of each configuration."""
+    results = measured_results(spark, sf_dir)
+    tag = labels.config_tag(F.col("method"), F.col("config"))
+    return charts.titled(results, "Cluster Sizes", tag).select(F.col("path").alias("json_path"), "title")
+
+
 @query(f"""WITH {DESCRIBED_SQL}, sizes_of AS (SELECT cluster, count(*) AS size FROM unit WHERE run = 2 GROUP BY cluster),
 counted AS (SELECT u.cluster, word, count(*) AS n, min((k.id, pos)) AS first FROM keywords k JOIN unit u ON u.id = k.id AND u.run = 2
             WHERE word NOT IN (SELECT word FROM all_stop) GROUP BY ALL),

@@ -83,6 +83,11 @@ def settle_buckets(
     return table
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def discard(spark: SparkSession, paths: list[str]) -> None:
     """Remove tables written under :func:`new_path` and empty the list."""
     for path in paths:

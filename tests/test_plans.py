@@ -94,6 +94,47 @@ def test_sweeps_are_written_read_and_compared(spark, both_sweeps, tmp_path):
     assert "\n\n" + "=" * 72 + "\n\nWord2Vec BoW qualitative cluster summary\n" in text
 
 
+def test_a_smaller_sweep_hides_the_one_before(spark, both_sweeps, tmp_path):
+    folder, sweep = str(tmp_path), both_sweeps[0]
+    sweeps.write_sweep(sweep, folder)
+    assert results.read_results(spark, folder, "doc2vec").count() == 2
+    only = sweeps.Sweep(sweep.runs[:1], sweep.results.where("config.name = 'small'"), sweep.best)
+    sweeps.write_sweep(only, folder)
+    assert [r["name"] for r in results.read_results(spark, folder, "doc2vec").select("config.name").collect()] == ["small"]
+    # A version that was not finished does not count.
+    (tmp_path / results.MANIFESTS / "version=9").mkdir()
+    assert [number for number, _ in results.manifests(spark, folder)] == [1, 2]
+
+
+def test_a_sweep_goes_on_where_it_broke_off(spark, corpus, tmp_path, monkeypatch):
+    configs = tuple({"name": n, "n_bins": b, "w2v_vector_size": 6, "w2v_min_count": 2} for n, b in (("small", 4), ("large", 6)))
+    folder, made, run = str(tmp_path), [], sweeps.run_word_bins
+    choice = Choice(k=2, restarts=1)
+
+    def breaking(corpus, words, config, *rest):
+        if config["name"] == "large" and not made.count("large"):
+            made.append("large")
+            raise RuntimeError("lost")
+        made.append(config["name"])
+        return run(corpus, words, config, *rest)
+
+    monkeypatch.setattr(sweeps, "run_word_bins", breaking)
+    with pytest.raises(RuntimeError):
+        sweeps.resume_word_bin_sweep(corpus, folder, configs, choice, epochs=1)
+    assert results.listed_entries(spark, folder) is None
+    found = sweeps.resume_word_bin_sweep(corpus, folder, configs, choice, epochs=1)
+    assert made == ["small", "large", "large"] and found.count() == 2
+    for row in found.collect():
+        check_result(row, 40)
+    again = sweeps.resume_word_bin_sweep(corpus, folder, configs[1:], choice, epochs=1)
+    assert made == ["small", "large", "large"] and [r["config"]["name"] for r in again.collect()] == ["large"]
+    combined = json.loads(next((tmp_path / "all_configs").glob("*.json")).read_text())
+    assert combined["recommended_configuration"] == "large" and len(combined["results"]) == 1
+    # Other settings or another corpus are other results.
+    entries = {sweeps.entry_of("m", {"a": 1}, mark, choice) for mark in ("1:2", "1:3")}
+    assert len(entries | {sweeps.entry_of("m", {"a": 1}, "1:2", Choice())}) == 3
+
+
 def document(name, silhouette, sizes=None, **config):
     return {"config": {"name": name, **config}, "k": 2, "metrics": {"cosine_silhouette": silhouette, "cluster_sizes": sizes},
             "cluster_summaries": [

@@ -7,8 +7,7 @@ hash join on the window's own words, which verifies them; that side is broadcast
 checked number of windows and shuffled beyond it. No text is shuffled.
 
 Words are runs of digits, letters a-z and code points above 127; A-Z are lowered first. An item of
-fewer words than a window is one window. The bit table uses full lower case, under which equal
-windows stay equal; the join compares the words with only A-Z lowered.
+fewer words than a window is one window. Bit table and join see the same words.
 
 Defined results: null and empty texts have no words and no hits. A row is judged by itself, so
 null and repeated ids keep one result row each. Items without words or without id are left out;
@@ -20,6 +19,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from doccairn.llm.rows import keyed_rows
+
 WINDOW = 10
 #: Words of 64 bits in the bit table: 2**20 bits, whatever the size of the benchmark.
 TABLE_WORDS = 1 << 14
@@ -29,12 +30,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def scan_words(text: Column) -> Column:
-    """Words under full lower case; they stand at the same places as the exact words."""
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), BREAK), "")
-
-
-def exact_words(text: Column) -> Column:
+def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), BREAK), "")
 
 
@@ -45,14 +41,14 @@ def _hash(words: Column, start: Column, length: int | Column) -> Column:
 def benchmark_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
     """``window, length, hash, items``: each distinct window with the ids of its items."""
     worded = benchmark.where(F.col(item).isNotNull()).select(
-        F.col(item).cast("string").alias("item"), scan_words(F.col(text)).alias("scan"), exact_words(F.col(text)).alias("exact"))
+        F.col(item).cast("string").alias("item"), words_of(F.col(text)).alias("exact"))
     length = F.least(F.size("exact"), F.lit(WINDOW))
     opened = worded.where(F.size("exact") > 0).select(
-        "item", "scan", "exact", length.alias("length"),
+        "item", "exact", length.alias("length"),
         F.explode(F.sequence(F.lit(1), F.size("exact") - length + 1)).alias("at"))
     windows = opened.select(
         "item", "length", F.array_join(F.slice("exact", F.col("at"), F.col("length")), " ").alias("window"),
-        _hash(F.col("scan"), F.col("at"), F.col("length")).alias("hash"))
+        _hash(F.col("exact"), F.col("at"), F.col("length")).alias("hash"))
     return windows.groupBy("window", "length", "hash").agg(F.collect_set("item").alias("items"))
 
 
@@ -109,13 +105,13 @@ def hits(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     table = _bit_table(windows)
     scanned = documents.select(
         F.col(id_column).alias("id"), F.col(text).alias("body"), F.monotonically_increasing_id().alias("row"),
-        scan_words(F.col(text)).alias("scan"))
+        words_of(F.col(text)).alias("scan"))
     starts = [_candidates(table, n).alias(f"start_{n}") for n in lengths]
     marked = scanned.select("id", "row", "body", F.size("scan").cast("long").alias("n_words"), *starts)
     any_start = F.lit(False)
     for n in lengths:
         any_start = any_start | (F.size(f"start_{n}") > 0)
-    worded = marked.withColumn("exact", F.when(any_start, exact_words(F.col("body"))))
+    worded = marked.withColumn("exact", F.when(any_start, words_of(F.col("body"))))
     parts = [_worded(f"start_{n}", n) for n in lengths]
     nothing = F.array().cast("array<struct<at:int,length:int,window:string>>")
     proposed = worded.select(
@@ -141,7 +137,8 @@ def hits(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
         "id", "n_words", F.aggregate("spans", start, cover, lambda state: state["n"]).alias("n_hit"), "spans", "items")
 
 
-def keep_clean(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without a verified window; rows that share an id (or have none) go together."""
-    caught = hits(documents, benchmark, id_column, text).where("n_hit > 0").select(F.col("id").alias("_caught")).distinct()
-    return documents.join(caught, F.col(id_column).eqNullSafe(F.col("_caught")), "left_anti")
+def keep_clean(documents: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The documents without a verified window; every row is judged by itself, with or without id."""
+    rows, key = keyed_rows(documents, "clean-rows")
+    caught = hits(rows, benchmark, key, text).where("n_hit > 0").select(F.col("id").alias("_caught"))
+    return rows.join(caught, F.col(f"`{key}`") == F.col("_caught"), "left_anti").drop(key)

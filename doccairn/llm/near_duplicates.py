@@ -8,17 +8,21 @@ before anything else happens, so exact copies cost nothing further.
 A bucket never emits all its pairs. First one centre is compared with its members: pairs whose
 signatures are too far apart to link are dropped, the rest confirmed on the full sets. Linked
 nodes form components (alternating large-star and small-star), and a bucket whose members are in
-one component is done. The nodes of the other buckets meet anew in buckets of their rarest
-shingles, which loses no link and parts what only shares common text. There, up to ``HEADS``
-members outside the largest component meet the bucket in a round and then leave it, so that in
-the end every pair across components has been judged. A pair goes no further if what follows the
-bucket's shingle in both sets is too little: similar sets pass in the bucket of their first
-common shingle.
-A pair with a similarity of 0.85 shares no band with a chance of (1 - 0.85**4)**24, about 2e-8.
+one component is done. The members of the other buckets get ``LONG`` further minima, which part
+what lies below the threshold far more sharply, and meet block by block: a task gets two blocks of
+bounded size with their sets, compares signatures by array operations, confirms what is left on
+the sets at once, and emits only links that join what was apart. A pair meets in its first common
+bucket only. Nothing is judged by size or sampled; a large group whose members are all below the
+threshold still costs the square of its size in comparisons, but no pair is ever a row.
+
+Rows per band follow from the threshold: as many as keep the chance that a pair at the threshold
+shares no band below ``MISSED`` (2e-8 at 85 %, 3e-6 at 80 %). Signature tests allow seven, and six,
+standard deviations below it.
 
 Defined results: null and empty texts, and texts of blanks, have the empty set and are linked with
 nothing. Rows that repeat an id are one node, linked if any of their texts is. Rows without id are
-not compared: their component is null and they are kept. Other columns are not looked at.
+not compared: their component is null and they are kept. :func:`keep_one` judges row by row, ids or
+not. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -27,22 +31,26 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from doccairn.llm.rows import keyed_rows
 from doccairn.storage import discard, settle
 
 WORDS = 5
-HASHES, ROWS = 96, 4
-BANDS = HASHES // ROWS
+HASHES = 96
 #: Least similarity in percent.
-PERCENT = 85
-#: Least share of equal minima; 0.85 falls below it with a chance under 1e-9.
-LEAST_AGREEMENT = 0.6
+PERCENT = 80
+#: Most chance of missing a pair at the threshold in all bands.
+MISSED = 1e-5
+#: Further minima of the members of open buckets, one byte each.
+LONG = 512
+#: Shingles in a block of a bucket; a task holds two blocks.
+BLOCK_SHINGLES = 400_000
 #: Orders by which buckets choose their first centre; a node meets a few centres, not one.
 CENTRES = 4
-#: Members outside a bucket's largest component that a round compares with the bucket.
-HEADS = 512
 #: Most ids (of 8 bytes) sent to every task to pick out the texts of bucket members.
 BROADCAST_IDS = 1_000_000
 PIECE = 4096
@@ -51,6 +59,24 @@ _DRAW = np.random.default_rng(4)
 FACTORS = _DRAW.integers(0, 1 << 63, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 OFFSETS = _DRAW.integers(0, 1 << 63, HASHES, dtype=np.uint64)
 PLACES = _DRAW.integers(0, 1 << 63, WORDS + 1, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+LONG_FACTORS = _DRAW.integers(0, 1 << 63, LONG, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+LONG_OFFSETS = _DRAW.integers(0, 1 << 63, LONG, dtype=np.uint64)
+
+
+def band_rows(percent: int) -> int:
+    """The most minima per band that miss a pair at the threshold with a chance below ``MISSED``."""
+    alike = percent / 100
+    fitting = [rows for rows in range(1, HASHES + 1) if (1 - alike**rows) ** (HASHES // rows) <= MISSED]
+    return max(fitting, default=1)
+
+
+def least_agreement(percent: int, hashes: int, deviations: float, chance: float = 0.0) -> int:
+    """Equal minima that a pair at the threshold has but for so many standard deviations.
+
+    ``chance`` is the share of unequal minima that are equal in what is kept of them.
+    """
+    alike = percent / 100 + (1 - percent / 100) * chance
+    return max(0, int(np.floor(hashes * alike - deviations * np.sqrt(hashes * alike * (1 - alike)))))
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -73,14 +99,14 @@ def shingles(text: str | None) -> np.ndarray:
     return np.unique(mixed(total))
 
 
-def signature(own: np.ndarray) -> np.ndarray:
-    """Minima of the hash family over a set, 32 bits each."""
-    minima = np.full(HASHES, np.iinfo(np.uint64).max, dtype=np.uint64)
+def signature(own: np.ndarray, factors: np.ndarray = FACTORS, offsets: np.ndarray = OFFSETS) -> np.ndarray:
+    """Minima of a hash family over a set, 32 bits each."""
+    minima = np.full(len(factors), np.iinfo(np.uint64).max, dtype=np.uint64)
     keys = own >> np.uint64(32)
     for start in range(0, len(keys), PIECE):
         part = keys[start : start + PIECE]
-        values = FACTORS[:, None] * part[None, :]
-        values += OFFSETS[:, None]
+        values = factors[:, None] * part[None, :]
+        values += offsets[:, None]
         values >>= np.uint64(32)
         np.minimum(minima, values.min(axis=1), out=minima)
     return minima.astype(np.uint32).view(np.int32)
@@ -103,9 +129,15 @@ def _sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"id": batch["id"], "members": [shingles(t).view(np.int64) for t in batch["text"]]})
 
 
-def _bands(minima: Column) -> Column:
+def _lengthened(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for batch in batches:
+        minima = [signature(m.view(np.uint64), LONG_FACTORS, LONG_OFFSETS).astype(np.uint8).tobytes() for m in batch["members"]]
+        yield pd.DataFrame({"node": batch["node"], "members": batch["members"], "minima": minima})
+
+
+def _bands(minima: Column, rows: int) -> Column:
     return F.array(*[
-        F.xxhash64(F.lit(band), *[F.element_at(minima, band * ROWS + row + 1) for row in range(ROWS)]) for band in range(BANDS)])
+        F.xxhash64(F.lit(band), *[F.element_at(minima, band * rows + row + 1) for row in range(rows)]) for band in range(HASHES // rows)])
 
 
 class _Rounds:
@@ -113,6 +145,7 @@ class _Rounds:
 
     def __init__(self, nodes: DataFrame, sets: DataFrame, percent: int, temporary: list[str]):
         self.nodes, self.sets, self.percent, self.temporary = nodes, sets, percent, temporary
+        self.rows = band_rows(percent)
 
     def settle(self, df: DataFrame, name: str) -> DataFrame:
         return settle(df, name, self.temporary)
@@ -120,11 +153,12 @@ class _Rounds:
     def confirm(self, pairs: DataFrame) -> DataFrame:
         """Those of the distinct pairs (a, b) whose sets are similar enough."""
         nodes = self.nodes.select("node", "n", "minima")
+        least = least_agreement(self.percent, HASHES, 7)
         near = (
             pairs.join(nodes.toDF("a", "na", "ma"), "a").join(nodes.toDF("b", "nb", "mb"), "b")
             .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * self.percent)
             .where(F.aggregate(F.zip_with("ma", "mb", lambda x, y: F.when(x == y, 1).otherwise(0)), F.lit(0), lambda s, x: s + x)
-                   >= int(HASHES * LEAST_AGREEMENT))
+                   >= least)
             .select("a", "b").distinct())
         near = self.settle(near, "near-pairs")
         common = F.size(F.array_intersect("sa", "sb"))
@@ -158,35 +192,79 @@ def components(edges: DataFrame, temporary: list[str]) -> DataFrame:
     return current.select(F.col("a").alias("node"), F.col("b").alias("component")).unionByName(roots)
 
 
-def _prefixes(nodes: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``bucket, node, n, ahead``: the rarest shingles of each node, as many as similar sets cannot
-    all lack, the size of the set and how much of it is left from this shingle on.
-
-    Two sets that are similar enough share a shingle among the first ``n - ceil(percent * n / 100) + 1``
-    of each, in any common order; rare ones first keeps the buckets small.
-    """
-    held = nodes.join(sets.toDF("node", "members"), "node").select("node", F.size("members").alias("n"), F.explode("members").alias("bucket"))
-    spread = held.groupBy("bucket").agg(F.count("*").alias("spread"))
-    place = F.row_number().over(Window.partitionBy("node").orderBy("spread", "bucket"))
-    first = F.col("n") - F.expr(f"(n * {percent} + 99) div 100") + 1
-    placed = held.join(spread, "bucket").withColumn("place", place).where((F.col("place") <= first) & (F.col("spread") > 1))
-    return placed.select("bucket", "node", "n", (F.col("n") - F.col("place") + 1).alias("ahead"))
-
-
 def _open(members: DataFrame, parts: DataFrame, work: _Rounds) -> DataFrame:
-    """Members of the buckets that hold several components, with the one that has most of them."""
-    placed = members.join(parts, "node", "left").select(*members.columns, F.coalesce("component", "node").alias("component"))
-    shares = placed.groupBy("bucket", "component").agg(F.count("*").alias("share"))
-    most = shares.groupBy("bucket").agg(
-        F.max_by("component", F.struct("share", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
-    return work.settle(placed.join(most.select("bucket", "most"), "bucket"), "near-open")
-
-
-def _union(tables: list[DataFrame]) -> DataFrame:
-    whole = tables[0]
-    for more in tables[1:]:
-        whole = whole.unionByName(more)
-    return whole
+    """Members of the buckets that hold several components and pairs that no centre has met."""
+    placed = members.join(parts, "node", "left").select("bucket", "node", F.coalesce("component", "node").alias("component"))
+    apart = placed.groupBy("bucket").agg(
+        F.count("*").alias("held"), F.min("component").alias("low"), F.max("component").alias("high"))
+    return work.settle(placed.join(apart.where("held > 2 and low <> high").select("bucket"), "bucket"), "near-open")
+
+
+class _Block:
+    """Two blocks of a bucket, or one with itself, compared row by row."""
+
+    def __init__(self, rows: pa.Table, percent: int):
+        self.nodes, self.percent = rows["node"].to_pylist(), percent
+        self.bucket, self.across = rows["bucket"][0].as_py(), rows["x"][0].as_py() != rows["y"][0].as_py()
+        self.side = rows["block"].to_numpy()
+        sets = rows["members"].combine_chunks()
+        ends = sets.offsets.to_numpy()
+        flat = sets.values.to_numpy().view(np.uint64)
+        self.sets = [flat[a:b] for a, b in zip(ends[:-1], ends[1:])]
+        self.sizes = np.diff(ends).astype(np.int64)
+        self.minima = np.frombuffer(b"".join(rows["minima"].to_pylist()), dtype=np.uint8).reshape(len(self.nodes), -1)
+        self.bands = rows["bands"].combine_chunks().flatten().to_numpy().reshape(len(self.nodes), -1)
+        self.roots = pc.dictionary_encode(rows["component"].combine_chunks()).indices.to_numpy().astype(np.int64)
+        self.least = least_agreement(percent, LONG, 6, 1 / 256)
+
+    def links(self) -> Iterator[tuple]:
+        """Confirmed pairs that join what was apart, the likeliest of a row first."""
+        for i in range(len(self.nodes)):
+            later = np.arange(i + 1, len(self.nodes))
+            later = later[self.roots[later] != self.roots[i]]
+            if self.across:
+                later = later[self.side[later] != self.side[i]]
+            small, large = np.minimum(self.sizes[later], self.sizes[i]), np.maximum(self.sizes[later], self.sizes[i])
+            later = later[small * 100 >= large * self.percent]
+            first = (self.bands[later] == self.bands[i]).argmax(axis=1)
+            later = later[self.bands[i][first] == self.bucket]
+            agreement = (self.minima[later] == self.minima[i]).sum(axis=1)
+            fits = agreement >= self.least
+            for j in later[fits][np.argsort(-agreement[fits], kind="stable")]:
+                if self.roots[j] != self.roots[i] and self.similar(i, j):
+                    self.roots[self.roots == self.roots[j]] = self.roots[i]
+                    yield self.nodes[i], self.nodes[j]
+
+    def similar(self, i: int, j: int) -> bool:
+        common = len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
+        return common * 100 >= (len(self.sets[i]) + len(self.sets[j]) - common) * self.percent
+
+
+def _block_links(percent: int):
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Links of each run of rows with one bucket and pair of blocks; a run may span batches."""
+        held: list[pa.RecordBatch] = []
+
+        def closed() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held)
+            found = list(_Block(rows, percent).links())
+            if found:
+                kind = rows.schema.field("node").type
+                yield pa.record_batch({"a": pa.array([min(p) for p in found], kind), "b": pa.array([max(p) for p in found], kind)})
+
+        for batch in batches:
+            keys = np.stack([batch.column(name).to_numpy() for name in ("bucket", "x", "y")])
+            changes = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for begin, end in zip([0, *changes], [*changes, batch.num_rows]):
+                part = batch.slice(begin, end - begin)
+                if held and any(held[0].column(n)[0].as_py() != part.column(n)[0].as_py() for n in ("bucket", "x", "y")):
+                    yield from closed()
+                    held.clear()
+                held.append(part)
+        if held:
+            yield from closed()
+
+    return judged
 
 
 def _links(members: DataFrame, work: _Rounds) -> DataFrame:
@@ -195,25 +273,28 @@ def _links(members: DataFrame, work: _Rounds) -> DataFrame:
     centre = members.groupBy("bucket").agg(F.min_by("node", F.xxhash64("node", family)).alias("centre"))
     pairs = members.join(centre, "bucket").where("node <> centre").select(
         F.least("centre", "node").alias("a"), F.greatest("centre", "node").alias("b")).distinct()
-    found = [work.settle(work.confirm(pairs), "near-links")]
-    parts = work.settle(components(found[0], work.temporary), "near-components")
-    # buckets with one component are done; the nodes of the rest meet in buckets of rare shingles
-    rest = _open(members, parts, work).select("node").distinct()
-    still = _open(work.settle(_prefixes(rest, work.sets, work.percent), "near-prefixes"), parts, work)
-    while not still.isEmpty():
-        chosen = Window.partitionBy("bucket").orderBy(F.xxhash64("node"), "node")
-        heads = work.settle(
-            still.where("component <> most").withColumn("place", F.row_number().over(chosen)).where(F.col("place") <= HEADS)
-            .select("bucket", F.col("node").alias("head"), F.col("component").alias("own"), F.col("n").alias("own_n"), F.col("ahead").alias("own_ahead")),
-            "near-heads")
-        enough = F.least("ahead", "own_ahead") * (100 + work.percent) >= (F.col("n") + F.col("own_n")) * work.percent
-        across = still.join(heads, (still["bucket"] == heads["bucket"]) & (F.col("component") != F.col("own")) & enough).select(
-            F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()
-        found.append(work.settle(work.confirm(across), "near-links"))
-        left = still.select("bucket", "node", "n", "ahead").join(heads.select("bucket", F.col("head").alias("node")), ["bucket", "node"], "left_anti")
-        parts = work.settle(components(_union(found), work.temporary), "near-components")
-        still = _open(left, parts, work)
-    return parts
+    found = work.settle(work.confirm(pairs), "near-links")
+    parts = work.settle(components(found, work.temporary), "near-components")
+    still = _open(members, parts, work)
+    if still.isEmpty():
+        return parts
+    kind = members.schema["node"].dataType.simpleString()
+    apart = still.select("node").distinct()
+    bands = work.nodes.join(apart, "node").select("node", _bands(F.col("minima"), work.rows).alias("bands"))
+    sets = work.sets.toDF("node", "members").join(apart, "node").mapInPandas(_lengthened, f"node {kind}, members array<long>, minima binary")
+    held = work.settle(sets.join(bands, "node"), "near-long")
+    # A bucket is cut into blocks of bounded size, and each pair of its blocks is a unit of work.
+    weights = still.join(held.select("node", F.size("members").alias("n")), "node").groupBy("bucket").agg(F.sum("n").alias("n"))
+    cut = weights.select("bucket", F.ceil(F.col("n") / BLOCK_SHINGLES).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    units = still.join(cut, "bucket").withColumn("block", block).select(
+        "bucket", "node", "component", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    units = units.select("*", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y")).drop("other")
+    rows = units.join(held, "node").repartition("bucket", "x", "y").sortWithinPartitions("bucket", "x", "y")
+    judged = rows.select("bucket", "x", "y", "block", "node", "component", "members", "minima", "bands").mapInArrow(
+        _block_links(work.percent), f"a {kind}, b {kind}")
+    more = work.settle(judged.distinct(), "near-links")
+    return work.settle(components(found.unionByName(more), work.temporary), "near-components")
 
 
 def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -225,7 +306,7 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text: str =
     sized = sketches.where("n > 0 and id is not null")
     nodes = settle(
         sized.groupBy("mark", "mark2", "n").agg(F.min("id").alias("node"), F.first("minima").alias("minima")), "near-nodes")
-    opened = nodes.select("node", F.explode(_bands(F.col("minima"))).alias("bucket")).distinct()
+    opened = nodes.select("node", F.explode(_bands(F.col("minima"), band_rows(percent))).alias("bucket")).distinct()
     shared = opened.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket")
     members = settle(opened.join(shared, "bucket"), "near-members", temporary).select("bucket", "node")
     needed = members.select(F.col("node").alias("id")).distinct()
@@ -243,6 +324,13 @@ def near_duplicates(documents: DataFrame, id_column: str = "doc_id", text: str =
 
 
 def keep_one(documents: DataFrame, id_column: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The documents without all but the smallest id of each component."""
-    dropped = near_duplicates(documents, id_column, text, percent).where("not kept").select(F.col("id").alias("_copy")).distinct()
-    return documents.join(dropped, F.col(id_column) == F.col("_copy"), "left_anti")
+    """One row of each component: that with the smallest id, and of rows with that id any one.
+
+    Every row is compared, with or without id; one without id stays only where no row has one.
+    Rows with the empty set are linked with nothing, so all of them stay.
+    """
+    rows, key = keyed_rows(documents, "near-rows")
+    found = near_duplicates(rows, key, text, percent).select(F.col("id").alias("_key"), F.col("component_id").alias("_part"))
+    placed = rows.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{id_column}`").alias("_id")).join(found, "_key")
+    first = placed.groupBy("_part").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_key")).alias("first")).select(F.col("first._key").alias("_kept"))
+    return rows.join(first, F.col(f"`{key}`") == F.col("_kept"), "left_semi").drop(key)

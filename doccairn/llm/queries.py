@@ -164,7 +164,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(COPIES_SQL)
 def op4_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+    found = near_duplicates.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
 
 

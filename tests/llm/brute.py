@@ -84,7 +84,7 @@ def listed(found):
     return ",".join(f"{kind}:{start}:{end}" for start, _, kind, end in found)
 
 
-def linked(documents):
+def linked(documents, percent=85):
     """(doc_id, n_shingles, component_id, kept) by comparing all pairs that share a shingle."""
     sets = {}
     for doc, text in documents:
@@ -109,7 +109,7 @@ def linked(documents):
             for b in docs[i + 1 :]:
                 common[a, b] = common.get((a, b), 0) + 1
     for (a, b), n in common.items():
-        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+        if 100 * n >= percent * (len(sets[a]) + len(sets[b]) - n):
             low, high = sorted((root(a), root(b)))
             parent[high] = low
     return [(doc, len(own), root(doc), root(doc) == doc) for doc, own in sets.items()]

@@ -56,22 +56,62 @@ def test_decontamination(spark, documents):
     assert sorted(duck(SMALL).execute(queries.CONTAMINATION_SQL).fetchall()) == want
 
 
+def test_capital_sigma_beside_a_break(spark):
+    """Lower case of a last capital sigma depends on its neighbour; the words do not."""
+    words = [f"ΟΔΟΣ{'ΑΒΓ'[i % 3]}Σ" for i in range(12)]
+    texts = [(1, ".".join(words)), (2, " ".join(words)), (3, "'".join(words[1:]) + ":x")]
+    made = spark.createDataFrame(texts, "doc_id long, text string")
+    bench = [(7, " ".join(words)), (8, "ΟΔΟΣ.")]
+    found = queries.decontaminate.hits(made, spark.createDataFrame(bench, "item_id long, text string"))
+    got = sorted((r["id"], r["n_words"], r["n_hit"]) for r in found.collect())
+    assert got == sorted((d, n, h) for d, n, h, *_ in brute.decontaminated(texts, bench)) and got[0][2] == 12
+
+
 def test_near_duplicates(spark, documents):
     want = sorted(brute.linked(documents))
     assert rows(spark, "op4_minhash", ["doc_id", "n_shingles", "component_id", "kept"]) == want
     assert sorted(duck(SMALL).execute(queries.COPIES_SQL).fetchall()) == want
 
 
-def test_large_bucket_of_near_copies(spark):
+@pytest.mark.parametrize("percent", [80, 85])
+@pytest.mark.parametrize("shingles", [near_duplicates.BLOCK_SHINGLES, 700])
+def test_large_bucket_of_near_copies(spark, monkeypatch, percent, shingles):
     """Chains of small changes: one component, though its ends are far apart."""
+    monkeypatch.setattr(near_duplicates, "BLOCK_SHINGLES", shingles)
     base = [f"w{i}" for i in range(60)]
     made = []
     for i in range(60):
         made.append((1000 - i, " ".join(base)))
         base = [*base[:i], f"x{i}", *base[i + 1 :]]
     made += [(2000 + i, " ".join([*base[:40], *(f"y{i}_{j}" for j in range(14))])) for i in range(40)]
-    found = near_duplicates.near_duplicates(spark.createDataFrame(made, "doc_id long, text string"))
-    assert sorted(map(tuple, found.collect())) == sorted(brute.linked(made))
+    found = near_duplicates.near_duplicates(spark.createDataFrame(made, "doc_id long, text string"), percent=percent)
+    assert sorted(map(tuple, found.collect())) == sorted(brute.linked(made, percent))
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+def test_group_around_the_threshold(spark, monkeypatch, percent):
+    """Many members just above and below the threshold, judged in several blocks."""
+    import random
+
+    monkeypatch.setattr(near_duplicates, "BLOCK_SHINGLES", 5000)
+    draw, base, made = random.Random(3), [f"w{i}" for i in range(120)], []
+    for i in range(220):
+        words = list(base)
+        for place in draw.sample(range(120), draw.randint(0, 5)):
+            words[place] = f"z{draw.randint(0, 10**9)}"
+        made.append((i, " ".join(words)))
+    want = sorted(brute.linked(made, percent))
+    assert 5 < len({c for _, _, c, _ in want}) < 215
+    found = near_duplicates.near_duplicates(spark.createDataFrame(made, "doc_id long, text string"), percent=percent)
+    assert sorted(map(tuple, found.collect())) == want
+
+
+def test_parameters_follow_the_threshold():
+    for percent in range(40, 101):
+        rows, alike = near_duplicates.band_rows(percent), percent / 100
+        assert rows == 1 or (1 - alike**rows) ** (near_duplicates.HASHES // rows) <= near_duplicates.MISSED
+    assert near_duplicates.band_rows(85) == near_duplicates.band_rows(80) == 4
+    assert near_duplicates.least_agreement(85, 96, 7) / 96 < 0.6 and near_duplicates.least_agreement(85, 512, 6, 1 / 256) / 512 > 0.75
 
 
 @pytest.mark.parametrize("name,divisor,held", [("op5_language_id", 4, 2)])

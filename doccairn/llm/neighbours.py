@@ -9,14 +9,16 @@ distance (the rotation makes it an unbiased estimate of the whole) abandons cand
 beyond the bound with high confidence. Scores are exact, in double precision, on the original
 vectors.
 
-Lists larger than ``BLOCK`` vectors are split by a hash of the id, and queries of one list
+Lists larger than ``BLOCK`` vectors are split by a hash of the row, and queries of one list
 beyond ``BLOCK`` as well, so a hot list is many tasks. The driver holds the sample, the centroids
 (at most ``MAX_LISTS``) and one count per list.
 
 Defined results: vectors that are null, zero, of another length than most, or hold null or
-non-finite components take no part, nor do rows without id. Ties go to the smaller id; repeated
-ids are candidates each, but never of a query of the same id. With fewer than k candidates
-all are returned. An empty table gives no rows.
+non-finite components take no part, nor do rows without id. Ties go to the smaller id. Rows that
+repeat an id, or are wholly equal, are queries and candidates each: a query leaves out its own
+row only, and has ranks of its own. With fewer than k candidates all are returned. An empty table
+gives no rows. All norms are completed to the largest one, so a few vectors much longer than the
+rest blur the distances of the others and lower the recall.
 """
 
 from __future__ import annotations
@@ -40,6 +42,7 @@ CONFIDENCE = 2.1
 PROBE_SHARE = 0.6
 LEAST_LISTS = 16
 SEED = 20
+FOUND = ("query_row", "query_id", "id", "row", "score")
 
 
 @dataclass(frozen=True)
@@ -112,7 +115,8 @@ def build(vectors: DataFrame) -> tuple[DataFrame, Index] | None:
                 yield part.assign(list=squared(turned, index.centroids).argmin(axis=1), turned=list(turned))
 
     placed = settle(
-        vectors.mapInPandas(assign, "id long, vector array<double>, list int, turned array<double>"), "vector-lists")
+        vectors.withColumn("row", F.monotonically_increasing_id()).mapInPandas(
+            assign, "id long, vector array<double>, row long, list int, turned array<double>"), "vector-lists")
     index = shared.value
     counts = np.zeros(len(index.centroids), dtype=np.int64)
     for row in placed.groupBy("list").count().collect():
@@ -141,15 +145,16 @@ def _search_block(k: int):
         found = []
         if len(queries) and len(base):
             turned, vectors = np.stack(base["turned"].to_numpy()), np.stack(base["vector"].to_numpy())
-            ids = base["id"].to_numpy()
-            for query, vector, own, bound in zip(queries["query_id"], queries["vector"], queries["turned"], queries["bound"]):
+            ids, rows = base["id"].to_numpy(), base["row"].to_numpy()
+            for query, row, vector, own, bound in zip(*(queries[n] for n in ("query_id", "query_row", "vector", "turned", "bound"))):
                 alive = np.arange(len(ids)) if np.isinf(bound) else scan(own, turned, bound)
-                alive = alive[ids[alive] != query]
+                alive = alive[rows[alive] != row]
                 scores = vectors[alive] @ vector
-                best = np.lexsort((ids[alive], -scores))[:k]
-                found.append(pd.DataFrame({"query_id": query, "id": ids[alive][best], "score": scores[best]}))
+                best = np.lexsort((rows[alive], ids[alive], -scores))[:k]
+                found.append(pd.DataFrame({
+                    "query_row": row, "query_id": query, "id": ids[alive][best], "row": rows[alive][best], "score": scores[best]}))
         if not found:
-            return pd.DataFrame({"query_id": pd.Series(dtype="int64"), "id": pd.Series(dtype="int64"), "score": pd.Series(dtype="float64")})
+            return pd.DataFrame({name: pd.Series(dtype=kind) for name, kind in zip(FOUND, ("int64",) * 4 + ("float64",))})
         return pd.concat(found)
 
     return search
@@ -182,24 +187,24 @@ def search(base: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec
                     first = int(np.searchsorted(held[n], k + 1)) + 1
                     wanted = order[n, : max(probes, first)]
                     yield pd.DataFrame({
-                        "query_id": part["id"].iloc[n], "vector": [part["vector"].iloc[n]] * len(wanted),
+                        "query_row": part["row"].iloc[n], "query_id": part["id"].iloc[n], "vector": [part["vector"].iloc[n]] * len(wanted),
                         "turned": [turned[n]] * len(wanted), "list": wanted, "first": np.arange(len(wanted)) < first})
 
-    routed = placed.where(is_query).select("id", "vector").mapInPandas(
-        routes, "query_id long, vector array<double>, turned array<double>, list int, first boolean")
+    routed = placed.where(is_query).select("row", "id", "vector").mapInPandas(
+        routes, "query_row long, query_id long, vector array<double>, turned array<double>, list int, first boolean")
     routed = settle(routed.withColumn("split", F.explode(F.sequence(F.lit(0), base_splits - 1))), "vector-queries")
     visits = routed.count()
     crowds = max(1, -(-visits // (lists * BLOCK)))
-    crowd = F.pmod(F.xxhash64("query_id"), F.lit(crowds)).cast("int")
+    crowd = F.pmod(F.xxhash64("query_row"), F.lit(crowds)).cast("int")
     blocks = (
-        placed.withColumn("split", F.pmod(F.xxhash64("id"), base_splits).cast("int"))
+        placed.withColumn("split", F.pmod(F.xxhash64("row"), base_splits).cast("int"))
         .withColumn("crowd", F.explode(F.sequence(F.lit(0), F.lit(crowds - 1)))).groupBy("list", "split", "crowd"))
-    found_schema = "query_id long, id long, score double"
+    found_schema = "query_row long, query_id long, id long, row long, score double"
 
     def visit(queries: DataFrame) -> DataFrame:
         return queries.withColumn("crowd", crowd).groupBy("list", "split", "crowd").cogroup(blocks).applyInPandas(_search_block(k), found_schema)
 
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    ranked = Window.partitionBy("query_row").orderBy(F.desc("score"), "id", "row")
 
     def best(found: DataFrame) -> DataFrame:
         return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
@@ -207,8 +212,8 @@ def search(base: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec
     near = settle(best(visit(routed.where("first").withColumn("bound", F.lit(float("inf"))))), "vector-near")
     # the k-th score of the nearest list bounds the squared distance: norm^2 + |q|^2 - 2 score
     square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
-    bounds = near.where(F.col("rank") == k).select("query_id", F.col("score").alias("reached"))
-    rest = routed.where("not first").join(bounds, "query_id", "left").withColumn(
+    bounds = near.where(F.col("rank") == k).select("query_row", F.col("score").alias("reached"))
+    rest = routed.where("not first").join(bounds, "query_row", "left").withColumn(
         "bound", F.coalesce(F.lit(index.norm**2) + square - 2 * F.col("reached"), F.lit(float("inf")))).drop("reached")
-    both = near.select("query_id", "id", "score").unionByName(visit(rest))
+    both = near.select(*FOUND).unionByName(visit(rest))
     return best(both).select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")

@@ -202,7 +202,9 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = table(spark, sf_dir, "documents").select("doc_id", secret_scan.digest(F.col("text")).alias("found"))
+    documents = table(spark, sf_dir, "documents")
+    ranks = secret_scan.word_ranks(documents)
+    found = documents.select("doc_id", secret_scan.digest(F.col("text"), ranks).alias("found"))
     return found.select("doc_id", "found.*")
 
 

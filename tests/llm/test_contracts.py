@@ -181,6 +181,81 @@ def test_guess_costs():
     assert secret_scan.redact("a pwd: x7Kq9!vLm2#Rt b") == "a pwd: [secret] b"
 
 
+def test_words_of_the_texts_are_no_secrets(spark):
+    made = [(i, t) for i, t in enumerate(["Token: description", "a description", "compass: yesterday", "password: x7Kq9!vLm2#Rt", "db_password: x7Kq9!vLm2#Rt", None, ""])]
+    table = spark.createDataFrame(made, "doc_id long, text string")
+    ranks = secret_scan.word_ranks(table)
+    assert ranks["description"] == min(r for w, r in ranks.items() if w not in secret_scan.RANKS) and "yesterday" not in ranks
+    found = {r["doc_id"]: r["found"]["spans"] for r in table.select("doc_id", secret_scan.digest(F.col("text"), ranks).alias("found")).collect()}
+    assert {d: s.split(":")[0] for d, s in found.items()} == {0: "", 1: "", 2: "", 3: "guess", 4: "guess", 5: "", 6: ""}
+    assert len(secret_scan.word_ranks(table.limit(0))) == len(secret_scan.RANKS)
+
+
+def plain_guesses(value, ranks):
+    """The cheapest split by trying every way to cut, with every kind for every piece."""
+    import functools
+    import math
+
+    def piece(i, j):
+        part, low = value[i:j], value[i:j].lower()
+        costs = [secret_scan._brute(part)] if j - i == 1 else []
+        join = math.log10(2) if i else 0.0
+        if j - i >= 3 and low in ranks:
+            costs.append(join + math.log10(ranks[low] + 1) + (0 if part in (low, low.capitalize()) else math.log10(j - i) + 0.3))
+        if secret_scan.DATE.fullmatch(part):
+            costs.append(join + math.log10(365.0 * 120 if j - i > 4 else 120.0))
+        for size in range(2, (j - i) // 2 + 1):
+            if (j - i) % size == 0 and part == part[:size] * ((j - i) // size) and len(set(part[:size])) > 1:
+                costs.append(join + plain_guesses(part[:size], ranks) + math.log10((j - i) // size))
+        if j - i >= 3 and len(set(part)) == 1:
+            costs.append(join + secret_scan._brute(part[0]) + math.log10(j - i))
+        if j - i >= 4 and all(a != b and secret_scan._beside(a, b) for a, b in zip(low, low[1:])):
+            costs.append(join + math.log10(47 * (j - i)) + 0.3 * (j - i))
+        return min(costs, default=math.inf)
+
+    @functools.cache
+    def best(j):
+        return 0.0 if j == 0 else min(best(i) + piece(i, j) for i in range(j))
+
+    return best(len(value))
+
+
+def test_guess_costs_equal_all_splits():
+    """The programme is never cheaper than the best split, and equal where pieces are whole runs."""
+    import random
+
+    draw = random.Random(4)
+    parts = ["password", "Token", "1999", "2024-01-31", "abcabcabc", "xyzxyz", "qwerty", "aaaa", "k", "7", "Q", "!"]
+    for _ in range(150):
+        value = "".join(draw.choices(parts, k=draw.randint(1, 3)))
+        assert secret_scan.guesses(value) >= plain_guesses(value, secret_scan.RANKS) - 1e-9, value
+    for value in ("abcabcabcabc", "xyzwxyzw", "password1999", "qwertyaaaa", "Token2024-01-31"):
+        assert abs(secret_scan.guesses(value) - plain_guesses(value, secret_scan.RANKS)) < 1e-9, value
+    assert secret_scan.guesses("abcabcabcabc") < 6
+
+
+def test_repeated_query_rows_have_their_own_ranks(spark):
+    import numpy as np
+
+    from doccairn.llm import neighbours
+
+    draw = np.random.default_rng(2)
+    vectors = draw.normal(size=(60, 6))
+    made = [(i, v.tolist()) for i, v in enumerate(vectors)] + [(0, vectors[0].tolist()), (20, (vectors[20] + 1).tolist()), (7, vectors[7].tolist())]
+    base = spark.createDataFrame(made, "vec_id long, embedding array<double>")
+    found = neighbours.search(base, F.col("id") % 20 == 0, k=10, probe_share=1.0).toPandas()
+    ids, rows = np.array([m[0] for m in made]), np.array([m[1] for m in made])
+    want = []
+    for q in np.flatnonzero(ids % 20 == 0):
+        others = np.delete(np.arange(len(ids)), q)
+        scores = rows[others] @ rows[q]
+        best = np.lexsort((ids[others], -scores))[:10]
+        want += [(ids[q], r + 1, ids[others][b], round(scores[b], 9)) for r, b in enumerate(best)]
+    got = [(a, b, c, round(d, 9)) for a, b, c, d in found[["query_id", "rank", "id", "score"]].itertuples(index=False)]
+    assert len(got) == len(want) == 50 and len(set(want) & set(got)) >= 0.9 * len(set(want))
+    assert sorted(r for q, r, *_ in got if q == 0) == sorted([*range(1, 11)] * 2)
+
+
 def test_pieces_equal_the_library(documents):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as form

@@ -2,8 +2,9 @@
 
 Each stage takes (spark, docs, sf_dir) and works on all its predecessor kept; ``run`` writes every
 result as Parquet in the shared folder and reads it back for the next stage. All but the last
-return the columns of the documents they get. Null ids and texts, empty tables, repeated rows
-and further columns pass through as the operators define it.
+return the columns of the documents they get. Decisions are about rows, not ids: rows without id
+or with a repeated one are judged by their own texts. Rows without text, or without letters, go in
+the first stage; further columns pass through; an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group: the smallest id."""
+    """Keep one document of each group, linked at 80 % of their word shingles: the smallest id."""
     return near_duplicates.keep_one(docs)
 
 
@@ -41,7 +42,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace secrets by a mark and count the characters again."""
-    redacted = docs.withColumn("text", secret_scan.redacted(F.col("text")))
+    redacted = docs.withColumn("text", secret_scan.redacted(F.col("text"), secret_scan.word_ranks(docs)))
     return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*[f"`{c}`" for c in docs.columns])
 
 

@@ -25,6 +25,8 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from doccairn.storage import discard, settle
+
 #: Least decimal logarithm of the guesses that make a value a secret.
 MIN_GUESSES = 10.0
 #: Words of the texts in the dictionary, which goes to every task.
@@ -32,6 +34,8 @@ DICTIONARY_WORDS = 50_000
 #: Letters of a word counted for the dictionary, and words counted in a task before they are sent on.
 WORD = re.compile(r"[^\W\d_]{3,24}")
 COUNTED = 200_000
+#: Levels of counts from a number to its double.
+LEVELS_PER_DOUBLING = 64
 #: Longest piece that is looked for right after itself.
 LONGEST_REPEAT = 24
 
@@ -178,8 +182,9 @@ def redact(text: str | None, mark: str = "[secret]", ranks: dict[str, int] = RAN
 def word_ranks(documents: DataFrame, text: str = "text", most: int = DICTIONARY_WORDS) -> dict[str, int]:
     """Ranks of the words of all texts by frequency, beside those of the short list.
 
-    Words are counted in every task and summed; the ``most`` frequent ones of those that occur
-    twice or more come to the driver.
+    Words are counted in every task and summed. Those that occur twice or more fall into levels of
+    nearly equal counts, and the highest levels that together hold at most ``most`` words come to the
+    driver; nothing else does but the sizes of the levels.
     """
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,10 +197,19 @@ def word_ranks(documents: DataFrame, text: str = "text", most: int = DICTIONARY_
                     counts.clear()
         yield pd.DataFrame(list(counts.items()), columns=["word", "n"]).astype({"word": "object", "n": "int64"})
 
-    found = (
+    written: list[str] = []
+    words = settle(
         documents.select(F.col(f"`{text}`").alias("text")).mapInPandas(counted, "word string, n long")
-        .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1").orderBy(F.desc("n"), "word").limit(most).collect()
-    )
+        .groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
+        .withColumn("level", F.floor(F.log2("n") * LEVELS_PER_DOUBLING).cast("int")), "secret-words", written)
+    room, least = most, None
+    for row in sorted(words.groupBy("level").agg(F.count("*").alias("held")).collect(), reverse=True):
+        room -= row["held"]
+        if room < 0:
+            break
+        least = row["level"]
+    found = [] if least is None else sorted(words.where(F.col("level") >= least).select("n", "word").collect(), key=lambda row: (-row["n"], row["word"]))
+    discard(documents.sparkSession, written)
     ranks = {row["word"]: rank for rank, row in enumerate(found, 1)}
     for word, rank in RANKS.items():
         ranks[word] = min(rank, ranks.get(word, rank))

@@ -189,6 +189,10 @@ def test_words_of_the_texts_are_no_secrets(spark):
     found = {r["doc_id"]: r["found"]["spans"] for r in table.select("doc_id", secret_scan.digest(F.col("text"), ranks).alias("found")).collect()}
     assert {d: s.split(":")[0] for d, s in found.items()} == {0: "", 1: "", 2: "", 3: "guess", 4: "guess", 5: "", 6: ""}
     assert len(secret_scan.word_ranks(table.limit(0))) == len(secret_scan.RANKS)
+    # Whole levels of counts, as many as there is room for.
+    counted = spark.createDataFrame([(" ".join(["often"] * 9 + ["seldom"] * 5 + ["twice", "couple"] * 2),)], "text string")
+    for most, want in ((4, {"often", "seldom", "twice", "couple"}), (3, {"often", "seldom"}), (1, {"often"}), (0, set())):
+        assert {w for w in secret_scan.word_ranks(counted, most=most) if w not in secret_scan.RANKS} == want
 
 
 def plain_guesses(value, ranks):

@@ -146,7 +146,8 @@ def test_many_clusters_are_compared_in_blocks(spark):
     worst = []
     for begin in range(0, k, 1000):
         part = slice(begin, begin + 1000)
-        apart = np.sqrt(np.maximum(sum(np.square(centres[part, i][:, None] - centres[:, i]) for i in range(d)), 0))
+        squared = np.square(centres[part]).sum(axis=1)[:, None] + np.square(centres).sum(axis=1) - 2 * centres[part] @ centres.T
+        apart = np.sqrt(np.where(squared > 1e-12, squared, 0))
         ratio = np.divide(spreads[part][:, None] + spreads, apart, out=np.zeros_like(apart), where=apart > 0)
         worst.append(ratio.max(axis=1))
     middle = (centres * sizes[:, None]).sum(axis=0) / sizes.sum()

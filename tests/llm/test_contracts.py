@@ -1,5 +1,6 @@
 """Operators against brute force, libraries and SQL on the smallest tables."""
 
+import numpy as np
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -30,7 +31,6 @@ def test_shards_are_near_equal(spark):
 
 
 def test_neighbours_recall(spark):
-    import numpy as np
 
     table = pd.read_parquet(f"{SMALL}/embeddings.parquet")
     vectors, ids = np.stack(table["embedding"]).astype(float), table["vec_id"].to_numpy()
@@ -239,7 +239,6 @@ def test_guess_costs_equal_all_splits():
 
 
 def test_repeated_query_rows_have_their_own_ranks(spark):
-    import numpy as np
 
     from doccairn.llm import neighbours
 
@@ -282,6 +281,58 @@ def test_pieces_equal_the_library(documents):
         assert [mine.decode(c) for c in coded] == texts
 
 
+def test_rewriting_normaliser_equals_the_library(documents):
+    """The rules in a model's character map are compiled and composed like the library does."""
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as form
+
+    with open(queries.MODEL_FILE, "rb") as file:
+        content = file.read()
+    odd = ["", "\u0001", "ﬁne ＡＢＣ１２３ ①②", "e\u0301tude a\u0308\u0304 x\u0301\u0301", "각 한글 ｶﾞｷﾞ", "a\tb\u00a0c\u3000d", "½ ™ ℌ",
+           "  two  blanks  ", "e", "日本語㍿", "q\u0323\u0307 end\u0301"]
+    texts = odd + [t for _, t in documents][:40]
+    for rules in ("nmt_nfkc", "nfkc_cf"):
+        for squeeze in (False, True):
+            model, normaliser = form.ModelProto(), form.ModelProto()
+            model.ParseFromString(content)
+            normaliser.ParseFromString(sentencepiece.SentencePieceNormalizer(rule_name=rules).serialized_model_proto())
+            model.normalizer_spec.precompiled_charsmap = normaliser.normalizer_spec.precompiled_charsmap
+            model.normalizer_spec.remove_extra_whitespaces = squeeze
+            mine = pieces.PieceModel(model.SerializeToString())
+            theirs = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+            assert [c.tolist() for c in mine.encode_all(texts)] == theirs.encode(texts)
+
+
+def test_lookup_finds_every_number_and_no_other():
+    import random
+
+    draw = random.Random(3)
+    entries = {draw.randrange(1 << 60): n for n in range(5_000)}
+    lookup = pieces.Lookup(entries)
+    others = [k for k in (draw.randrange(1 << 60) for _ in range(5_000)) if k not in entries]
+    assert lookup.find(np.array([*entries, *others])).tolist() == [*entries.values()] + [-1] * len(others)
+    assert pieces.Lookup({}).find(np.array([1, 2])).tolist() == [-1, -1]
+
+
+def test_pieces_without_byte_fallback_write_one_unknown_for_a_run(documents):
+    import sentencepiece
+    from sentencepiece import sentencepiece_model_pb2 as form
+
+    model = form.ModelProto()
+    with open(queries.MODEL_FILE, "rb") as file:
+        model.ParseFromString(file.read())
+    model.trainer_spec.byte_fallback = False
+    for piece in model.pieces:
+        if piece.type == pieces.BYTE:
+            piece.type = pieces.NORMAL
+            piece.piece = "\ue000" + piece.piece  # the format has byte pieces only with fallback
+            piece.score = -1e9
+    texts = ["🙂🙂 a 🙂b🙂🙂", "🙂", "x\n\ny", *[t for _, t in documents][:20]]
+    mine = pieces.PieceModel(model.SerializeToString())
+    theirs = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
+    assert [c.tolist() for c in mine.encode_all(texts)] == theirs.encode(texts)
+
+
 def test_round_trip_in_spark(spark):
     found = queries.op7_sentencepiece(spark, SMALL)
     model = pieces.load(queries.MODEL_FILE)

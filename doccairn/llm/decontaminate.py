@@ -1,10 +1,12 @@
 """Benchmark decontamination, with SQL functions only.
 
 Every window of ``WINDOW`` words of the benchmark is normalised; a text's token windows are
-scanned where they stand (no row per word) against two bits per window in a bit table of fixed
-size that travels with the plan. The few windows that pass meet the benchmark's windows in a
-hash join on the window's own words, which verifies them; that side is broadcast up to a
-checked number of windows and shuffled beyond it. No text is shuffled.
+scanned where they stand (no row per word) against two bits per window in a bit table that
+travels with the plan; its size follows from the number of windows, up to a ceiling. The few
+windows that pass meet the benchmark's windows in a hash join on the window's own words, which
+verifies them; that side is broadcast up to a checked number of bytes and shuffled beyond it.
+The items of the windows met join last, so a window common to many items is one row until then.
+No text is shuffled.
 
 Words are runs of digits, letters a-z and code points above 127; A-Z are lowered first. An item of
 fewer words than a window is one window. Bit table and join see the same words.
@@ -20,12 +22,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from doccairn.llm.rows import keyed_rows
+from doccairn.storage import settle
 
 WINDOW = 10
-#: Words of 64 bits in the bit table: 2**20 bits, whatever the size of the benchmark.
-TABLE_WORDS = 1 << 14
-#: Most windows (of at most a few hundred bytes) whose join side is broadcast.
-BROADCAST_WINDOWS = 100_000
+#: Bits of the table: at least ``BITS_PER_WINDOW`` for each window, within these limits (as powers
+#: of two). At the ceiling a quarter of a million windows let one window in 60 through by chance.
+BITS_PER_WINDOW = 16
+LEAST_BITS, MOST_BITS = 20, 22
+#: Most bytes of distinct windows whose join side is broadcast.
+BROADCAST_BYTES = 32 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -39,34 +44,38 @@ def _hash(words: Column, start: Column, length: int | Column) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, item: str, text: str) -> DataFrame:
-    """``window, length, hash, items``: each distinct window with the ids of its items."""
+    """``window, length, hash, item``: each distinct window of each item."""
     worded = benchmark.where(F.col(item).isNotNull()).select(
         F.col(item).cast("string").alias("item"), words_of(F.col(text)).alias("exact"))
     length = F.least(F.size("exact"), F.lit(WINDOW))
     opened = worded.where(F.size("exact") > 0).select(
         "item", "exact", length.alias("length"),
         F.explode(F.sequence(F.lit(1), F.size("exact") - length + 1)).alias("at"))
-    windows = opened.select(
-        "item", "length", F.array_join(F.slice("exact", F.col("at"), F.col("length")), " ").alias("window"),
-        _hash(F.col("exact"), F.col("at"), F.col("length")).alias("hash"))
-    return windows.groupBy("window", "length", "hash").agg(F.collect_set("item").alias("items"))
+    return opened.select(
+        F.array_join(F.slice("exact", F.col("at"), F.col("length")), " ").alias("window"), "length",
+        _hash(F.col("exact"), F.col("at"), F.col("length")).alias("hash"), "item").distinct()
 
 
-def _places(hashed: Column) -> tuple[Column, Column]:
+def table_bits(windows: int) -> int:
+    """Bits of the table for so many distinct windows, as a power of two."""
+    return min(max(LEAST_BITS, (windows * BITS_PER_WINDOW - 1).bit_length()), MOST_BITS)
+
+
+def _places(hashed: Column, bits: int) -> tuple[Column, Column]:
     """The two bits of a window in the table."""
-    bits = TABLE_WORDS * 64 - 1
-    return hashed.bitwiseAND(F.lit(bits)), F.shiftrightunsigned(hashed, 32).bitwiseAND(F.lit(bits))
+    mask = F.lit((1 << bits) - 1)
+    return hashed.bitwiseAND(mask), F.shiftrightunsigned(hashed, 32).bitwiseAND(mask)
 
 
-def _bit_table(windows: DataFrame) -> Column:
-    """The bit table as an array literal of fixed length."""
-    first, second = _places(F.col("hash"))
+def _bit_table(windows: DataFrame, bits: int) -> Column:
+    """The bit table as an array literal."""
+    first, second = _places(F.col("hash"), bits)
     filled = (
         windows.select(F.explode(F.array(first, second)).alias("bit"))
         .groupBy(F.shiftrightunsigned("bit", 6).cast("int").alias("word"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("bits")).collect()
     )
-    table = [0] * TABLE_WORDS
+    table = [0] * (1 << (bits - 6))
     for row in filled:
         table[row["word"]] = row["bits"]
     return F.split(F.lit(",".join(map(str, table))), ",").cast("array<bigint>")
@@ -77,10 +86,10 @@ def _set(table: Column, place: Column) -> Column:
     return F.getbit(word, place.bitwiseAND(F.lit(63)).cast("int")) == 1
 
 
-def _candidates(table: Column, length: int) -> Column:
+def _candidates(table: Column, bits: int, length: int) -> Column:
     """Starts of the windows of ``length`` words whose two bits are set."""
     def passes(start: Column) -> Column:
-        first, second = _places(_hash(F.col("scan"), start, length))
+        first, second = _places(_hash(F.col("scan"), start, length), bits)
         return _set(table, first) & _set(table, second)
 
     none = F.array().cast("array<int>")
@@ -99,14 +108,16 @@ def hits(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     ``spans`` has the verified windows as (first word from 1, number of words), ``items`` the
     sorted ids of the items met.
     """
-    windows = benchmark_windows(benchmark, item, item_text).cache()
-    found = windows.groupBy("length").agg(F.count("*").alias("n")).collect()
-    lengths, total = sorted(r["length"] for r in found), sum(r["n"] for r in found)
-    table = _bit_table(windows)
+    owned = settle(benchmark_windows(benchmark, item, item_text), "benchmark-windows")
+    windows = owned.select("window", "length", "hash").distinct()
+    found = windows.groupBy("length").agg(F.count("*").alias("n"), F.sum(F.octet_length("window")).alias("bytes")).collect()
+    lengths, size = sorted(r["length"] for r in found), sum(r["bytes"] for r in found)
+    bits = table_bits(sum(r["n"] for r in found))
+    table = _bit_table(windows, bits)
     scanned = documents.select(
         F.col(id_column).alias("id"), F.col(text).alias("body"), F.monotonically_increasing_id().alias("row"),
         words_of(F.col(text)).alias("scan"))
-    starts = [_candidates(table, n).alias(f"start_{n}") for n in lengths]
+    starts = [_candidates(table, bits, n).alias(f"start_{n}") for n in lengths]
     marked = scanned.select("id", "row", "body", F.size("scan").cast("long").alias("n_words"), *starts)
     any_start = F.lit(False)
     for n in lengths:
@@ -117,15 +128,22 @@ def hits(documents: DataFrame, benchmark: DataFrame, id_column: str = "doc_id",
     proposed = worded.select(
         "id", "row", "n_words",
         F.explode_outer(F.when(F.size("exact") > 0, F.concat(nothing, *parts)).otherwise(nothing)).alias("p"))
-    side = windows.select("window", "items")
-    if total <= BROADCAST_WINDOWS:
+    side = windows.select("window", F.lit(True).alias("met"))
+    if size <= BROADCAST_BYTES:
         side = F.broadcast(side)
     verified = proposed.select("id", "row", "n_words", "p.at", "p.length", "p.window").join(side, "window", "left")
-    place = F.when(F.col("items").isNotNull(), F.struct("at", "length"))
-    gathered = verified.groupBy("row").agg(
+    per_row = verified.groupBy("row").agg(
         F.first("id").alias("id"), F.first("n_words").alias("n_words"),
-        F.array_sort(F.collect_list(place)).alias("spans"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+        F.array_sort(F.collect_list(F.when(F.col("met"), F.struct("at", "length")))).alias("spans"),
+        F.collect_set(F.when(F.col("met"), F.col("window"))).alias("met"))
+    # a row per window met, the first with the spans; rows that met none have keys of their own
+    opened = per_row.select("row", "id", "n_words", "spans", F.posexplode_outer("met").alias("n", "met"))
+    keyed = opened.select(
+        "row", "id", "n_words", F.when(F.coalesce("n", F.lit(0)) == 0, F.col("spans")).alias("spans"),
+        F.coalesce("met", F.concat(F.lit("\0"), F.col("row").cast("string"))).alias("window"))
+    gathered = keyed.join(owned.select("window", "item"), "window", "left").groupBy("row").agg(
+        F.first("id").alias("id"), F.first("n_words").alias("n_words"), F.first("spans", ignorenulls=True).alias("spans"),
+        F.array_sort(F.collect_set("item")).alias("items"))
     start = F.struct(F.lit(1).alias("free"), F.lit(0).cast("long").alias("n"))
 
     def cover(state: Column, span: Column) -> Column:

@@ -1,7 +1,10 @@
 """Approximate nearest neighbours by largest inner product: inverted lists and adaptive dimension scan.
 
 Vectors get one more component that makes all norms equal, so the largest inner product is the
-smallest distance; then they are rotated at random. Lists are Voronoi cells of centroids fitted
+smallest distance; then they are rotated at random. Norms are completed to twice their
+``COMMON``-th quantile at most; the few vectors that are longer (under one in twenty) are a list of
+their own, which every query scans whole, and a longer query is scaled down, which changes no
+order. Lists are Voronoi cells of centroids fitted
 on a bounded sample (``SAMPLE`` vectors); every vector is put into its list. A query scans its
 own nearest list first, which bounds the distance of its k-th neighbour; then the other probed
 lists, whose candidates are read in column blocks. After each block a test on the partial
@@ -17,8 +20,7 @@ Defined results: vectors that are null, zero, of another length than most, or ho
 non-finite components take no part, nor do rows without id. Ties go to the smaller id. Rows that
 repeat an id, or are wholly equal, are queries and candidates each: a query leaves out its own
 row only, and has ranks of its own. With fewer than k candidates all are returned. An empty table
-gives no rows. All norms are completed to the largest one, so a few vectors much longer than the
-rest blur the distances of the others and lower the recall.
+gives no rows.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ CONFIDENCE = 2.1
 #: Share of the lists that a query probes; at least ``LEAST_LISTS``.
 PROBE_SHARE = 0.6
 LEAST_LISTS = 16
+#: Vectors longer than twice this quantile of the norms are the list that every query scans.
+COMMON = 0.95
 SEED = 20
 FOUND = ("query_row", "query_id", "id", "row", "score")
 
@@ -50,7 +54,7 @@ class Index:
     rotation: np.ndarray
     centroids: np.ndarray
     norm: float
-    #: Vectors per list.
+    #: Vectors per list; the last list holds the long vectors and has no centroid.
     counts: np.ndarray
 
     def rotated(self, vectors: np.ndarray) -> np.ndarray:
@@ -58,7 +62,8 @@ class Index:
         return np.concatenate([vectors, rest[:, None]], axis=1) @ self.rotation
 
     def rotated_queries(self, vectors: np.ndarray) -> np.ndarray:
-        return np.concatenate([vectors, np.zeros((len(vectors), 1))], axis=1) @ self.rotation
+        scale = np.minimum(1.0, self.norm / np.sqrt((vectors**2).sum(axis=1)))
+        return np.concatenate([vectors * scale[:, None], np.zeros((len(vectors), 1))], axis=1) @ self.rotation
 
 
 def usable(base: DataFrame, id_column: str, vector: str) -> DataFrame:
@@ -71,6 +76,11 @@ def usable(base: DataFrame, id_column: str, vector: str) -> DataFrame:
     return rows.where(F.size("vector") == (common["length"] if common else 0))
 
 
+def square() -> Column:
+    """The square of a vector's norm."""
+    return F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
+
+
 def squared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a**2).sum(axis=1)[:, None] + (b**2).sum(axis=1)[None, :] - 2.0 * a @ b.T
 
@@ -90,19 +100,23 @@ def centroids_of(sample: np.ndarray, lists: int, rounds: int = 10) -> np.ndarray
 
 def build(vectors: DataFrame) -> tuple[DataFrame, Index] | None:
     """Settled table of list, id, vector and rotated vector, and its index; None if empty."""
-    known = vectors.agg(F.count("*").alias("n"), F.max(F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)).alias("square")).first()
+    length = F.sqrt(square())
+    known = vectors.agg(
+        F.count("*").alias("n"), F.max(length).alias("longest"), F.percentile_approx(length, COMMON).alias("common")).first()
     total = known["n"]
     if not total:
         return None
     share = min(1.0, SAMPLE / total)
-    rows = vectors.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).limit(SAMPLE * 2).collect()
+    norm = min(known["longest"], 2.0 * known["common"])
+    common = vectors.where(length <= norm)
+    rows = common.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30))).limit(SAMPLE * 2).collect()
     if not rows:
-        rows = vectors.limit(SAMPLE).collect()
+        rows = common.limit(SAMPLE).collect()
     rows.sort(key=lambda r: (r["id"], r["vector"]))
     sample = np.array([r["vector"] for r in rows])
     width = sample.shape[1] + 1
     rotation = np.linalg.qr(np.random.default_rng(SEED).standard_normal((width, width)))[0]
-    blank = Index(rotation, np.zeros((0, width)), float(np.sqrt(known["square"])), np.zeros(0))
+    blank = Index(rotation, np.zeros((0, width)), float(norm), np.zeros(0))
     lists = int(min(MAX_LISTS, max(1, round(np.sqrt(total)))))
     shared = SparkSession.active().sparkContext.broadcast(
         Index(rotation, centroids_of(blank.rotated(sample), lists), blank.norm, blank.counts))
@@ -112,13 +126,14 @@ def build(vectors: DataFrame) -> tuple[DataFrame, Index] | None:
         for batch in batches:
             for part in (batch.iloc[i : i + BLOCK] for i in range(0, len(batch), BLOCK)):
                 turned = index.rotated(np.stack(part["vector"].to_numpy()))
-                yield part.assign(list=squared(turned, index.centroids).argmin(axis=1), turned=list(turned))
+                nearest = np.where(part["long"], len(index.centroids), squared(turned, index.centroids).argmin(axis=1))
+                yield part.drop(columns="long").assign(list=nearest, turned=list(turned))
 
     placed = settle(
-        vectors.withColumn("row", F.monotonically_increasing_id()).mapInPandas(
+        vectors.withColumn("row", F.monotonically_increasing_id()).withColumn("long", length > norm).mapInPandas(
             assign, "id long, vector array<double>, row long, list int, turned array<double>"), "vector-lists")
     index = shared.value
-    counts = np.zeros(len(index.centroids), dtype=np.int64)
+    counts = np.zeros(len(index.centroids) + 1, dtype=np.int64)
     for row in placed.groupBy("list").count().collect():
         counts[row["list"]] = row["count"]
     return placed, Index(index.rotation, index.centroids, index.norm, counts)
@@ -170,13 +185,14 @@ def search(base: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec
         return spark.createDataFrame([], "query_id long, rank int, id long, score double")
     placed, index = built
     shared = spark.sparkContext.broadcast(index)
-    lists = len(index.counts)
+    lists = len(index.centroids)
     probes = min(lists, max(LEAST_LISTS, int(np.ceil(lists * probe_share))))
     splits = np.maximum(1, -(-index.counts // BLOCK))
     base_splits = F.element_at(F.array(*[F.lit(int(s)) for s in splits]), F.col("list") + 1)
 
     def routes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = shared.value
+        longer = [lists] if known.counts[lists] else []
         for batch in batches:
             for part in (batch.iloc[i : i + 512] for i in range(0, len(batch), 512)):
                 turned = known.rotated_queries(np.stack(part["vector"].to_numpy()))
@@ -185,10 +201,10 @@ def search(base: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec
                 held = np.cumsum(known.counts[order], axis=1)
                 for n in range(len(part)):
                     first = int(np.searchsorted(held[n], k + 1)) + 1
-                    wanted = order[n, : max(probes, first)]
+                    wanted = np.append(longer, order[n, : max(probes, first)]).astype(np.int64)
                     yield pd.DataFrame({
                         "query_row": part["row"].iloc[n], "query_id": part["id"].iloc[n], "vector": [part["vector"].iloc[n]] * len(wanted),
-                        "turned": [turned[n]] * len(wanted), "list": wanted, "first": np.arange(len(wanted)) < first})
+                        "turned": [turned[n]] * len(wanted), "list": wanted, "first": np.arange(len(wanted)) < first + len(longer)})
 
     routed = placed.where(is_query).select("row", "id", "vector").mapInPandas(
         routes, "query_row long, query_id long, vector array<double>, turned array<double>, list int, first boolean")
@@ -210,10 +226,10 @@ def search(base: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec
         return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k)
 
     near = settle(best(visit(routed.where("first").withColumn("bound", F.lit(float("inf"))))), "vector-near")
-    # the k-th score of the nearest list bounds the squared distance: norm^2 + |q|^2 - 2 score
-    square = F.aggregate("vector", F.lit(0.0), lambda s, x: s + x * x)
+    # the k-th score of the nearest list bounds the squared distance to the scaled query: norm^2 + |q|^2 - 2 score
+    scale = F.least(F.lit(1.0), F.lit(index.norm) / F.sqrt(square()))
     bounds = near.where(F.col("rank") == k).select("query_row", F.col("score").alias("reached"))
     rest = routed.where("not first").join(bounds, "query_row", "left").withColumn(
-        "bound", F.coalesce(F.lit(index.norm**2) + square - 2 * F.col("reached"), F.lit(float("inf")))).drop("reached")
+        "bound", F.coalesce(F.lit(index.norm**2) + square() * scale * scale - 2 * scale * F.col("reached"), F.lit(float("inf")))).drop("reached")
     both = near.select(*FOUND).unionByName(visit(rest))
     return best(both).select("query_id", F.col("rank").cast("int").alias("rank"), "id", "score")

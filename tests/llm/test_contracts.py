@@ -31,7 +31,6 @@ def test_shards_are_near_equal(spark):
 
 
 def test_neighbours_recall(spark):
-
     table = pd.read_parquet(f"{SMALL}/embeddings.parquet")
     vectors, ids = np.stack(table["embedding"]).astype(float), table["vec_id"].to_numpy()
     found = queries.op2_nearest_vectors(spark, SMALL).toPandas()
@@ -259,6 +258,48 @@ def test_repeated_query_rows_have_their_own_ranks(spark):
     assert sorted(r for q, r, *_ in got if q == 0) == sorted([*range(1, 11)] * 2)
 
 
+def test_neighbours_beside_very_long_vectors(spark):
+    """A few huge vectors and queries cost no recall."""
+    from doccairn.llm import neighbours
+
+    draw = np.random.default_rng(4)
+    rows = draw.standard_normal((2000, 32))
+    rows[7] *= 1e9
+    rows[40] *= 1e6  # a query
+    rows[1000:1010] *= 50.0
+    made = spark.createDataFrame([(n, v.tolist()) for n, v in enumerate(rows)], "vec_id long, embedding array<double>")
+    found = neighbours.search(made, F.col("id") % 20 == 0, k=20).toPandas()
+    met = 0
+    for q in range(0, 2000, 20):
+        scores = rows @ rows[q]
+        scores[q] = -np.inf
+        own = found[found["query_id"] == q].sort_values("rank")
+        assert np.allclose(own["score"], scores[own["id"]]) and own["rank"].tolist() == list(range(1, 21))
+        met += len(set(own["id"]) & set(np.argsort(-scores)[:20].tolist()))
+    assert met >= 0.9 * 2000
+
+
+def test_common_windows_and_shuffled_sides(spark, monkeypatch):
+    """A window of very many items, and no side small enough to be broadcast."""
+    words = [f"w{n}" for n in range(30)]
+    bench = [(n, " ".join(words[:10])) for n in range(3000)] + [(5000, " ".join(words[5:20])), (5001, "solo"), (5002, "")]
+    texts = [(1, " ".join(words)), (2, "x " + " ".join(words[:9])), (3, None), (4, " ".join(words[:10] * 40)), (5, "Solo"), (5, "a solo b")]
+    made = spark.createDataFrame(texts, "doc_id long, text string")
+    for limit in (queries.decontaminate.BROADCAST_BYTES, -1):
+        monkeypatch.setattr(queries.decontaminate, "BROADCAST_BYTES", limit)
+        found = queries.decontaminate.hits(made, spark.createDataFrame(bench, "item_id long, text string"))
+        got = sorted((r["id"], r["n_words"], r["n_hit"], len(r["items"]), ",".join(r["items"])) for r in found.collect())
+        every = ",".join(sorted(str(n) for n in range(3000)))
+        both = ",".join(sorted([*map(str, range(3000)), "5000"]))
+        assert got == [(1, 30, 20, 3001, both), (2, 10, 0, 0, ""), (3, 0, 0, 0, ""), (4, 400, 400, 3000, every),
+                       (5, 1, 1, 1, "5001"), (5, 3, 1, 1, "5001")]
+
+
+def test_bit_table_grows_with_the_windows():
+    bits = [queries.decontaminate.table_bits(n) for n in (0, 1, 65_536, 65_537, 200_000, 10**9)]
+    assert bits == [20, 20, 20, 21, 22, 22]
+
+
 def test_pieces_equal_the_library(documents):
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2 as form

@@ -2,7 +2,8 @@
 
 A bounded sample of labelled rows gives counts per (language, n-gram bucket), summed by Spark.
 The log-probability matrix (buckets x languages, a fixed size per language) is broadcast;
-texts are scored whole, in numpy, by adding the rows of their n-grams.
+texts are scored whole, in numpy: a batch of texts is a sparse matrix (texts x buckets, in
+compressed rows), and its product with the matrix gives the scores of the batch.
 
 Defined results: a null text and a text without any letter give ``und`` with score 0, and so
 does every text if nothing could be learned. Equal posteriors go to the first language in
@@ -17,14 +18,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from doccairn.llm.grams import code_points, pieces
+from doccairn.llm.grams import PIECE, code_points, pieces
 
 ORDERS = (1, 2, 3)
 BITS = 15
 #: Bound of the training sample, in rows.
 SAMPLE_ROWS = 4000
+#: Steps of the draw; with more labelled rows than ``STEPS * SAMPLE_ROWS`` one step is taken.
+STEPS = 1 << 30
 #: Languages the broadcast matrix may hold; 2**BITS floats each.
 MAX_LANGUAGES = 512
 RESULT = "lang_pred string, score double"
@@ -66,15 +69,14 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     known = labelled.where("text is not null and lang is not null and id is not null")
     total = known.count()
     share = min(1.0, sample_rows / total) if total else 1.0
-    chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = known.where(F.pmod(F.xxhash64("id"), F.lit(STEPS)) < max(1, int(share * STEPS)))
     counted = (
         chosen.select("text", "lang").mapInPandas(_count, "lang string, bucket long, n long")
         .groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     )
-    names = tuple(sorted(r["lang"] for r in counted.where("bucket = -1").select("lang").limit(MAX_LANGUAGES + 1).collect()))
-    if len(names) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
-    table = counted.toPandas()
+    seen = counted.where("bucket = -1").orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    names = tuple(sorted(r["lang"] for r in seen.collect()))
+    table = counted.where(F.col("lang").isin(*names)).toPandas()
     counts = np.ones((1 << BITS, len(names)))
     priors = np.zeros(len(names))
     for position, name in enumerate(names):
@@ -86,27 +88,59 @@ def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     return LanguageModel(names, weights.astype(np.float32), priors)
 
 
-def predict(model: LanguageModel, text: str | None) -> tuple[str, float]:
-    if text is None or not model.names or not any(map(str.isalpha, text)):
-        return "und", 0.0
-    total, codes = model.priors.copy(), _codes(text)
+def _batches(texts: list[str]) -> Iterator[list[int]]:
+    """Places of texts that together have at most ``PIECE`` characters; a longer text is alone."""
+    taken, size = [], 0
+    for place, text in enumerate(texts):
+        if taken and size + len(text) > PIECE:
+            yield taken
+            taken, size = [], 0
+        taken.append(place)
+        size += len(text)
+    if taken:
+        yield taken
+
+
+def _posteriors(model: LanguageModel, texts: list[str]) -> np.ndarray:
+    """Log posteriors, up to a constant, of a batch: a row per text, a column per language."""
+    codes = [_codes(text) for text in texts]
+    owner = np.repeat(np.arange(len(codes)), [len(c) for c in codes])
+    joined, totals = np.concatenate(codes), np.tile(model.priors, (len(codes), 1))
     for order in ORDERS:
-        for part in pieces(codes, order, BITS):
-            total += model.weights[part].sum(axis=0, dtype=np.float64)
-    best = int(np.argmax(total))
-    return model.names[best], float(1.0 / np.exp(total - total[best]).sum())
+        for number, buckets in enumerate(pieces(joined, order, BITS)):
+            begin = number * PIECE
+            rows = owner[begin : begin + len(buckets)]
+            # an n-gram that ends in the next text is none
+            inside = rows == owner[begin + order - 1 : begin + order - 1 + len(buckets)]
+            rows, buckets = rows[inside], buckets[inside]
+            starts = np.flatnonzero(np.diff(rows, prepend=-1))
+            if len(starts):
+                totals[rows[starts]] += np.add.reduceat(model.weights[buckets], starts, axis=0, dtype=np.float64)
+    return totals
+
+
+def predict(model: LanguageModel, texts: pd.Series) -> pd.DataFrame:
+    """``lang_pred, score`` of every text."""
+    found = pd.DataFrame({"lang_pred": "und", "score": np.zeros(len(texts))})
+    known = [n for n, text in enumerate(texts) if text is not None and model.names and any(map(str.isalpha, text))]
+    scored = [texts.iloc[n] for n in known]
+    for batch in _batches(scored):
+        totals = _posteriors(model, [scored[n] for n in batch])
+        best = totals.argmax(axis=1)
+        places = [known[n] for n in batch]
+        found.loc[places, "lang_pred"] = [model.names[n] for n in best]
+        found.loc[places, "score"] = 1.0 / np.exp(totals - totals.max(axis=1, keepdims=True)).sum(axis=1)
+    return found
 
 
 def language(model: LanguageModel, text: Column) -> Column:
     """Struct of ``lang_pred`` and ``score`` for a text column."""
-    from pyspark.sql import SparkSession
-
     shared = SparkSession.active().sparkContext.broadcast(model)
 
     @F.pandas_udf(RESULT)
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         known = shared.value
         for texts in batches:
-            yield pd.DataFrame([predict(known, t) for t in texts], columns=["lang_pred", "score"])
+            yield predict(known, texts)
 
     return score.asNondeterministic()(text)

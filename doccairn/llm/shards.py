@@ -1,73 +1,99 @@
 """Sharding by sampled splitters.
 
 Every record gets a key (a digest of its text, then its id). A size-weighted sample of keys
-gives quantile boundaries, which cut the key range into many fine ranges. Exact bytes and rows
-per range are then known (one row per range), and the place of every record in the whole order
-follows from a running sum inside its own range; so shards can be cut at exact byte positions,
-and a range too large for one shard is subdivided between several. Equal texts are neighbours
-and may be divided where their range is overfull, so a hot text cannot fill one shard.
+gives quantile boundaries, which cut the key range into many fine ranges. A range that holds too
+many rows all the same (many small texts, one hot text, records without text or id) is subdivided
+by boundaries sampled from its own rows; the last part of a key is a number of the row, so any
+range can be. Exact bytes and rows per range are then known (one row per range), and the place of
+every record in the whole order follows from running sums inside its own range, so shards are cut
+at exact byte positions.
 
-Only keys and sizes move, never texts. The driver holds the boundaries and one row per range,
-both bounded by ``shards * RANGES_PER_SHARD``.
+Only keys and sizes move, never texts. The driver holds the boundaries and one row per range:
+``shards * RANGES_PER_SHARD``, or one per ``ROWS_PER_RANGE`` rows if that is more, twice at most.
 
 Defined results: a null text has size 1 and no checksum; an empty text has size 1. Null ids
 sort first, and rows that tie in everything are numbered in any order, which no output shows.
-An empty table gives no rows. Other columns are not looked at.
+An empty table gives no rows. Other columns are not looked at, and written records keep them.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_right
+import json
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from doccairn.llm.rows import keyed_rows
 from doccairn.storage import settle
 
 #: Fine ranges per shard, and sampled keys per fine range.
 RANGES_PER_SHARD = 8
 KEYS_PER_RANGE = 16
+#: Rows that one task orders; more rows than this in every range make more ranges.
+ROWS_PER_RANGE = 1 << 20
+#: A range with more than this many times its share of the rows is subdivided.
+OVERFULL = 2
+STEPS = 1 << 30
 
 
 def keyed(records: DataFrame, id_column: str, text: str) -> DataFrame:
-    """Columns ``id``, ``key``, ``size`` (UTF-8 bytes plus 1) and ``text_crc32``."""
-    body = F.col(text)
+    """Columns ``id``, ``place``, ``size`` (UTF-8 bytes plus 1), ``text_crc32`` and ``draw``.
+
+    ``place`` orders the records: digest of the text (blanks if null), id, number of the row.
+    """
+    body, padded = F.col(text), F.lpad(F.col(id_column).cast("string"), 20, "0")
     return records.select(
         F.col(id_column).alias("id"),
-        F.coalesce(F.md5(body.cast("binary")), F.lit("")).alias("key"),
+        F.concat(
+            F.coalesce(F.md5(body.cast("binary")), F.lit(" " * 32)), F.coalesce(F.hex(padded), F.lit("")), F.lit("-"),
+            F.lpad(F.monotonically_increasing_id().cast("string"), 20, "0")).alias("place"),
         (F.coalesce(F.octet_length(body), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(body.cast("binary")).alias("text_crc32"),
-    )
+    ).withColumn("draw", F.pmod(F.xxhash64("place"), F.lit(STEPS)) / F.lit(float(STEPS)))
+
+
+def _quantiles(keys: list[str], parts: int) -> set[str]:
+    return {keys[i * len(keys) // parts] for i in range(1, parts)} if keys else set()
 
 
 def splitters(records: DataFrame, ranges: int) -> list[str]:
     """Boundaries of ``ranges`` key ranges of about equal bytes.
 
-    A record is drawn with chance proportional to its size (by a hash of key and id, so
+    A record is drawn with chance proportional to its size (by a hash of its place, so
     that the draw repeats); the driver gets about ``ranges * KEYS_PER_RANGE`` keys.
     """
     total = records.agg(F.sum("size").alias("bytes")).first()["bytes"] or 0
     if not total:
         return []
-    wanted = ranges * KEYS_PER_RANGE
-    chance = F.col("size") * F.lit(wanted / total)
-    place = F.concat("key", F.coalesce(F.lpad(F.col("id").cast("string"), 20, "0"), F.lit("")))
-    draw = F.pmod(F.xxhash64("key", "id", F.lit(41)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    keys = sorted(r["place"] for r in records.where(draw < chance).select(place.alias("place")).collect())
-    return sorted({keys[i * len(keys) // ranges] for i in range(1, ranges)}) if keys else []
+    drawn = records.where(F.col("draw") < F.col("size") * F.lit(ranges * KEYS_PER_RANGE / total))
+    return sorted(_quantiles(sorted(r["place"] for r in drawn.select("place").collect()), ranges))
+
+
+def subdivided(records: DataFrame, bounds: list[str], rows_per_range: float) -> list[str]:
+    """The boundaries, and further ones inside every range of too many rows."""
+    counts = {r["range"]: r["count"] for r in records.groupBy(_range_of(bounds).alias("range")).count().collect()}
+    parts = {n: -(-rows // max(1, int(rows_per_range))) for n, rows in counts.items() if rows > OVERFULL * rows_per_range}
+    if not parts:
+        return bounds
+    chances = F.element_at(F.from_json(F.lit(json.dumps(
+        [parts[n] * KEYS_PER_RANGE / counts[n] if n in parts else 0.0 for n in range(len(bounds) + 1)])), "array<double>"), F.col("range") + 1)
+    drawn = records.withColumn("range", _range_of(bounds)).where(F.col("draw") < chances)
+    keys: dict[int, list[str]] = {}
+    for row in drawn.select("range", "place").collect():
+        keys.setdefault(row["range"], []).append(row["place"])
+    return sorted(set(bounds).union(*(_quantiles(sorted(found), parts[n]) for n, found in keys.items())))
 
 
 def _range_of(bounds: list[str]) -> Column:
-    """Number of the range that holds a record, by binary search over the boundaries."""
-    place = F.concat("key", F.coalesce(F.lpad(F.col("id").cast("string"), 20, "0"), F.lit("")))
+    """Number of the range that holds a record, by binary search over the sorted boundaries."""
+    listed = F.from_json(F.lit(json.dumps(bounds)), "array<string>")
+    steps = [1 << bit for bit in reversed(range(len(bounds).bit_length()))]
 
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(place < bounds[middle], search(low, middle)).otherwise(search(middle + 1, high))
+    def step(passed: Column, width: Column) -> Column:
+        ahead = passed + width
+        return F.when(F.get(listed, ahead - 1) <= F.col("place"), ahead).otherwise(passed)
 
-    return search(0, len(bounds))
+    return F.aggregate(F.array(*map(F.lit, steps)), F.lit(0), step) if steps else F.lit(0)
 
 
 def shard_by_bytes(records: DataFrame, id_column: str = "doc_id", text: str = "text", shards: int = 16) -> DataFrame:
@@ -77,47 +103,48 @@ def shard_by_bytes(records: DataFrame, id_column: str = "doc_id", text: str = "t
     shard is further from the mean than the size of one record.
     """
     rows = settle(keyed(records, id_column, text), "shard-keys")
-    ranged = rows.withColumn("range", _range_of(splitters(rows, shards * RANGES_PER_SHARD)))
-    sizes = {r["range"]: r["bytes"] for r in ranged.groupBy("range").agg(F.sum("size").alias("bytes")).collect()}
-    total, numbers = sum(sizes.values()), sorted(sizes)
-    before = dict(zip(numbers, [0, *accumulate(sizes[n] for n in numbers)]))
-    ordered = Window.partitionBy("range").orderBy("key", F.col("id").asc_nulls_first())
+    total_rows = rows.count()
+    ranges = max(shards * RANGES_PER_SHARD, -(-total_rows // ROWS_PER_RANGE))
+    bounds = subdivided(rows, splitters(rows, ranges), max(1.0, total_rows / ranges))
+    ranged = rows.drop("draw").withColumn("range", _range_of(bounds))
+    known = {r["range"]: r for r in ranged.groupBy("range").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()}
+    numbers = sorted(known)
+    total = sum(known[n]["bytes"] for n in numbers)
+    bytes_before = dict(zip(numbers, accumulate((known[n]["bytes"] for n in numbers), initial=0)))
+    rows_before = dict(zip(numbers, accumulate((known[n]["rows"] for n in numbers), initial=0)))
+    ordered = Window.partitionBy("range").orderBy("place")
     running = F.sum("size").over(ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    middle = _looked_up("range", before) + running - F.col("size") / 2
-    placed = ranged.withColumn("shard", F.least(F.lit(shards - 1), F.floor(middle * shards / F.lit(float(max(total, 1)))).cast("int")))
-    counts = {
-        (r["range"], r["shard"]): r["n"]
-        for r in placed.groupBy("range", "shard").agg(F.count("*").alias("n")).collect()
-    }
-    starts, filled = {}, [0] * shards
-    for part in sorted(counts):
-        starts[part] = filled[part[1]]
-        filled[part[1]] += counts[part]
-    inside = Window.partitionBy("range", "shard").orderBy("key", F.col("id").asc_nulls_first())
-    offset = _looked_up(F.col("range") * shards + F.col("shard"), {a * shards + b: n for (a, b), n in starts.items()})
-    slot = (offset + F.row_number().over(inside) - 1).cast("long")
+    middle = _looked_up("range", bytes_before) + running - F.col("size") / 2
+    placed = ranged.select(
+        "id", "size", "text_crc32",
+        F.least(F.lit(shards - 1), F.floor(middle * shards / F.lit(float(max(total, 1)))).cast("int")).alias("shard"),
+        (_looked_up("range", rows_before) + F.row_number().over(ordered) - 1).alias("number"))
+    # shards follow the order, so a record's slot is its number less that of its shard's first record
+    first = {r["shard"]: r["first"] for r in placed.groupBy("shard").agg(F.min("number").alias("first")).collect()}
+    slot = (F.col("number") - _looked_up("shard", first)).cast("long")
     return placed.select("id", "size", "text_crc32", "shard", slot.alias("slot"))
 
 
-def _looked_up(column: str | Column, values: dict[int, int]) -> Column:
+def _looked_up(column: str, values: dict[int, int]) -> Column:
     """Value of a small table of consecutive numbers, as an array literal."""
-    column = F.col(column) if isinstance(column, str) else column
     if not values:
         return F.lit(0).cast("long")
     listed = ",".join(str(values.get(i, 0)) for i in range(max(values) + 1))
-    return F.element_at(F.split(F.lit(listed), ",").cast("array<bigint>"), (column + 1).cast("int"))
+    return F.element_at(F.split(F.lit(listed), ",").cast("array<bigint>"), (F.col(column) + 1).cast("int"))
 
 
-def write_shards(records: DataFrame, placed: DataFrame, path: str, id_column: str = "doc_id", files_per_shard: int = 8) -> None:
+def write_shards(records: DataFrame, path: str, text: str = "text", shards: int = 16, files_per_shard: int = 8) -> str:
     """Write whole records below ``path``, one folder per shard, in several files each.
 
-    Ids must be unique here, since records and places meet on them.
+    Records and shards meet on a number of the row, so records without id or with a repeated
+    one are written once each. Returns the name of the folders' column: ``shard``, with
+    underscores if the records have such a column.
     """
-    joined = records.join(placed.select(F.col("id").alias(id_column), "shard", "slot"), id_column)
-    part = F.pmod(F.xxhash64("slot"), F.lit(files_per_shard))
-    joined.repartition("shard", part).write.partitionBy("shard").parquet(path)
-
-
-def shard_of(bounds: list[str], key: str) -> int:
-    """Range number of one key, for readers that route single records."""
-    return bisect_right(bounds, key)
+    rows, key = keyed_rows(records, "shard-records")
+    taken = {column.lower() for column in rows.columns}
+    name = next(f"shard{'_' * n}" for n in range(len(taken) + 1) if f"shard{'_' * n}" not in taken)
+    placed = shard_by_bytes(rows, key, text, shards).select(
+        F.col("id").alias("_record"), F.col("shard").alias(name), F.pmod(F.xxhash64("slot"), F.lit(files_per_shard)).alias("_file"))
+    joined = rows.join(placed, F.col(f"`{key}`") == F.col("_record"))
+    joined.repartition(name, "_file").drop(key, "_record", "_file").write.partitionBy(name).parquet(path)
+    return name

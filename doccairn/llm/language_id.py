@@ -115,7 +115,7 @@ def _posteriors(model: LanguageModel, texts: list[str]) -> np.ndarray:
             rows, buckets = rows[inside], buckets[inside]
             starts = np.flatnonzero(np.diff(rows, prepend=-1))
             if len(starts):
-                totals[rows[starts]] += np.add.reduceat(model.weights[buckets], starts, axis=0, dtype=np.float64)
+                totals[rows[starts]] += np.add.reduceat(model.weights.take(buckets, axis=0), starts, axis=0, dtype=np.float64)
     return totals
 
 

@@ -321,9 +321,9 @@ def repeat_spans(documents: DataFrame, temporary: list[str]) -> DataFrame:
     grams = kinds.groupBy("gram").agg(F.count("*").alias("kinds"), F.min("n").alias("least"), F.max("doubled").alias("doubled")).where("least = 1 and (kinds > 1 or doubled)")
     open_runs = settle(kinds.join(grams.select("gram", "kinds"), "gram"), "repeat-open", temporary)
     places = bit_table(open_runs, "tag")
-    strings = settle(texts.mapInPandas(_emit(places, True), RUN_SCHEMA + ", bytes binary"), "repeat-strings", temporary)
+    emitted = texts.mapInPandas(_emit(places, True), RUN_SCHEMA + ", bytes binary")
+    narrow = settle(emitted.select("key", "key2", "start", "gram", "bytes"), "repeat-strings", temporary)
     hot = open_runs.where(F.col("kinds") > LARGEST).select("gram").distinct()
-    narrow = strings.select("key", "key2", "start", "gram", "bytes")
     edges = (
         narrow.join(hot, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram")
         .mapInPandas(_bundles, "key long, key2 long, start long, end long"))
@@ -349,7 +349,11 @@ def _cut(text: str | None, spans: list | None) -> tuple[int, int, int, bytes]:
 
 
 def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
-    """``id, n_bytes, n_removed, n_spans, kept`` (binary): one row per document row."""
+    """``id, n_bytes, n_removed, n_spans, kept`` (binary): one row per document row.
+
+    Only texts that may have repeats, by a bit table of the keys of those that do, are shuffled to
+    their spans; the others stay as they are.
+    """
     source = documents.select(F.col(id_column).alias("id"), F.col(text).alias("text")).withColumns({
         "key": F.xxhash64("text"), "key2": F.xxhash64("id", F.lit(7))})
     temporary: list[str] = []
@@ -364,5 +368,16 @@ def remove_repeats(documents: DataFrame, id_column: str = "doc_id", text: str =
             [_cut(t, None if s is None else [tuple(p) for p in s]) for t, s in zip(texts, spans)],
             columns=["n_bytes", "n_removed", "n_spans", "kept"])
 
+    shared = documents.sparkSession.sparkContext.broadcast(bit_table(gathered, "key"))
+
+    @F.pandas_udf("boolean")
+    def listed(keys: pd.Series) -> pd.Series:
+        return pd.Series(_passes(shared.value, keys.to_numpy().view(np.uint64)))
+
     pieces = cut.asNondeterministic()(F.col("text"), F.col("spans"))
-    return source.join(gathered, ["key", "key2"], "left").select("id", pieces.alias("c")).select("id", "c.*")
+    marked = source.withColumn("listed", listed("key"))
+    cleaned = marked.where("listed").join(gathered, ["key", "key2"], "left").select("id", pieces.alias("c")).select("id", "c.*")
+    body, none = F.coalesce(F.col("text").cast("binary"), F.lit(b"")), F.lit(0).cast("long")
+    untouched = marked.where("not listed").select(
+        "id", F.octet_length(body).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), body.alias("kept"))
+    return cleaned.unionByName(untouched)

@@ -107,7 +107,8 @@ def runs(body: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray,
         heads = np.flatnonzero(np.concatenate([[True], parted]))
         sizes = np.diff(np.append(heads, len(least)))
         doubled = np.logical_or.reduceat(np.concatenate([[False], moved & ~parted]), heads)
-        grams = grams[heads]
+        # least hashes crowd near zero: mixed once more, their leading bits spread over the bit table
+        grams = _mix(grams[heads])
         if (sizes > RUN).any():
             repeats = -(-sizes // RUN)
             order = np.arange(repeats.sum()) - np.repeat(np.cumsum(repeats) - repeats, repeats)

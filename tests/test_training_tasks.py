@@ -86,3 +86,14 @@ def test_tokens_of_any_kind_are_encoded(spark):
     words = spark.createDataFrame([(0, i, w) for i, w in enumerate(["", "a", "b", "b\na"])], "block int, number int, word string")
     found = {r["id"]: r["tokens"] for r in embedding.encode_documents(documents, words, 1).collect()}
     assert found == {0: [1, 3, 1], 1: [], 2: [2, 0], 3: [], 4: [], 5: [0]}
+
+
+def test_what_tasks_get_can_be_sent(spark):
+    """Classes that name stored tables are sent to tasks by value; none may hold a lock."""
+    from pyspark import cloudpickle
+
+    from doccairn import storage
+    from doccairn.operators.quality import Centroids
+
+    settle(spark.range(3), "any")
+    assert cloudpickle.loads(cloudpickle.dumps(storage.shuffles_removed)) and cloudpickle.loads(cloudpickle.dumps(Centroids))
